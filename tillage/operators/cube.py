@@ -121,9 +121,9 @@ def contrast(fact: DataFrame, measure: str, row: str, attribute: str, left, righ
     sides = [F.sum(F.when(F.col(attribute) == v, column)) for v in (left, right)]
     base = fact.groupBy(_label(row)).agg(*[s.alias(n) for s, n in zip(sides, names)])
     if include_all:
-        total = base.agg(*[F.sum(n).alias(n) for n in names]).withColumn(row, F.lit(ALL))
+        total = base.agg(*[F.sum(n).alias(n) for n in names[:2]]).withColumn(row, F.lit(ALL))
         base = base.unionByName(total)
-    a, b = (F.coalesce(F.col(n), F.lit(0.0)) for n in names)
+    a, b = (F.coalesce(F.col(n), F.lit(0.0)) for n in names[:2])
     return base.withColumn(names[2], F.when(F.col(names[0]).isNotNull() | F.col(names[1]).isNotNull(), a - b))
 
 

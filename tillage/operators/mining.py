@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tillage.functions import agronomy as ag
 from tillage.operators.orderstats import LINEAR, order_statistics
 from tillage.operators.profile import YIELD, existing, long_form
+from tillage.session import task_count
 
 # Bins (column, edges, labels); every interval is closed on the right.
 FIXED_BINS = {
@@ -61,7 +62,9 @@ def transactions(df: DataFrame) -> DataFrame:
 def frequent_itemsets(baskets: DataFrame, min_support: float = MIN_SUPPORT) -> DataFrame:
     """Itemsets with their frequency and support; the items of a set are sorted."""
     total = baskets.agg(F.count("*").alias("n"))
-    found = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=1.0).fit(baskets).freqItemsets
+    tasks = task_count(baskets.sparkSession)
+    miner = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=1.0, numPartitions=tasks)
+    found = miner.fit(baskets).freqItemsets
     sets = found.select(F.array_sort("items").alias("items"), "freq")
     return sets.crossJoin(F.broadcast(total)).withColumn("support", F.col("freq") / F.col("n"))
 

@@ -31,10 +31,32 @@ _CUTS = ", ".join(
 BINNED_SQL = f"""binned AS MATERIALIZED (SELECT crop_type, region, irrigation_type, fertilizer_type, sowing_season, {_BINNED}
   FROM farm, (SELECT {_CUTS} FROM farm))"""
 _C = mining.ITEM_COLUMNS
-_ITEM = ", ".join(f"CASE WHEN grouping({c}) = 0 THEN '{c}=' || {c} END" for c in _C)
-SETS_SQL = f"""sets AS MATERIALIZED (SELECT list_sort(list_filter([{_ITEM}], lambda x: x IS NOT NULL)) AS items, count(*) AS freq
-  FROM binned GROUP BY CUBE ({', '.join(_C)}) HAVING count(*) >= {mining.MIN_SUPPORT} * (SELECT count(*) FROM binned)),
-supports AS MATERIALIZED (SELECT items, freq, CAST(freq AS DOUBLE) / (SELECT count(*) FROM binned) AS support FROM sets WHERE len(items) > 0)"""
+_LEVELS = 8
+
+
+def _levelwise() -> str:
+    """Itemsets grown one item at a time, keeping only frequent ones, until a level is empty."""
+    items = ", ".join(f"'{c}=' || {c}" for c in _C)
+    ctes = [
+        f"long_items AS MATERIALIZED (SELECT tid, unnest([{items}]) AS item FROM (SELECT *, row_number() OVER () AS tid FROM binned))",
+        f"lim AS (SELECT {mining.MIN_SUPPORT} * count(*) AS k FROM binned)",
+        """f1 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY item) AS id, item, [item] AS items, n AS freq FROM
+        (SELECT item, count(*) AS n FROM long_items GROUP BY item) WHERE n >= (SELECT k FROM lim))""",
+        "o1 AS MATERIALIZED (SELECT tid, id, id AS last FROM long_items JOIN f1 USING (item))",
+    ]
+    for k in range(2, _LEVELS):
+        ctes += [
+            f"""p{k} AS MATERIALIZED (SELECT o.tid, o.id AS prev, i.id AS last FROM o{k - 1} o JOIN o1 i ON o.tid = i.tid AND i.id > o.last)""",
+            f"""f{k} AS MATERIALIZED (SELECT row_number() OVER () AS id, c.prev, c.last, list_append(a.items, b.item) AS items, n AS freq
+            FROM (SELECT prev, last, count(*) AS n FROM p{k} GROUP BY prev, last) c JOIN f{k - 1} a ON a.id = c.prev
+            JOIN f1 b ON b.id = c.last WHERE n >= (SELECT k FROM lim))""",
+            f"o{k} AS MATERIALIZED (SELECT tid, f.id, p.last FROM p{k} p JOIN f{k} f ON p.prev = f.prev AND p.last = f.last)",
+        ]
+    return ", ".join(ctes)
+
+
+_SETS = " UNION ALL ".join(f"SELECT items, freq FROM f{k}" for k in range(1, _LEVELS))
+SETS_SQL = f"""{_levelwise()}, supports AS MATERIALIZED (SELECT items, freq, CAST(freq AS DOUBLE) / (SELECT count(*) FROM binned) AS support FROM ({_SETS}))"""
 RULES_SQL = f"""rules AS MATERIALIZED (SELECT a.items AS antecedents, c.items AS consequents, z.support, z.support / a.support AS confidence,
   z.support / a.support / c.support AS lift, z.support - a.support * c.support AS leverage,
   CASE WHEN z.support / a.support >= 1 THEN 'inf'::DOUBLE ELSE (1 - c.support) / (1 - z.support / a.support) END AS conviction
@@ -54,7 +76,7 @@ def rules_sql(body):
 def _itemsets(spark, d):
     # the baskets are read by the counting and by the tree building; written once, the
     # farm joins and the quantiles behind them run a single time
-    baskets = materialize(mining.transactions(mining.discretise(farm(spark, d, *_INPUTS))), "baskets")
+    baskets = materialize(mining.transactions(mining.discretise(farm(spark, d, *_INPUTS))), "baskets", spread=True)
     return mining.frequent_itemsets(baskets)
 
 

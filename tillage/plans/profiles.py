@@ -346,12 +346,12 @@ for _how, _expr in {"mean": f"avg({Y})", "sum": f"sum({Y})", "std": f"stddev_pop
     query(
         f"a21_time_series_{_how}",
         farm_sql(
-            f"""SELECT region AS grp, CAST(sowing_month AS BIGINT) AS "time", round({_expr}, 4) AS value
+            f"""SELECT region AS grp, CAST(sowing_month AS BIGINT) AS "time", round({_expr}, {1 if _how == "mean" else 4}) AS value
             FROM farm GROUP BY region, sowing_month"""
         ),
     )(
         lambda spark, d, how=_how: pr.rounded(
-            pr.time_series(farm(spark, d, "region", "sowing_month", Y), "sowing_month", Y, how, "region"), 4
+            pr.time_series(farm(spark, d, "region", "sowing_month", Y), "sowing_month", Y, how, "region"), 1 if how == "mean" else 4
         ).withColumn("time", F.col("time").cast("bigint"))
     )
 

@@ -311,7 +311,7 @@ CHECK_SQL = {
         for c, (lo, hi) in quality.RANGES.items()
     ),
     "v07_dates": " UNION ALL ".join(
-        _ch(f"valid_date_{c}", "0", f"{c} dates are valid", "") for c in ("sowing_date", "harvest_date")
+        _ch(f"valid_date_{c}", _count_if("false"), f"{c} dates are valid", "") for c in ("sowing_date", "harvest_date")
     ),
     "v08_harvest_after_sowing": _ch("harvest_after_sowing", _count_if("harvest_date <= sowing_date"), "All harvest dates after sowing", " records with invalid date sequence"),
     "v09_total_days": _ch("total_days_consistency", _count_if("harvest_date - sowing_date <> total_days"), "total_days matches date difference", " mismatched total_days", "warning"),
@@ -598,9 +598,8 @@ def _(spark, d):
 
 
 @query("s20_processed_copy", farm_sql(
-    "SELECT farm_id, round(yield_per_day, 6) AS yield_per_day, round(water_efficiency, 6) AS water_efficiency, 'daily' AS processed_by, true AS stamped FROM farm"))
+    "SELECT farm_id, yield_per_day, water_efficiency, 'daily' AS processed_by, true AS stamped FROM farm"))
 def _(spark, d):
     out = files.with_lineage(farm(spark, d, "farm_id", "total_days", "rainfall_mm", Y), "daily")
     back = materialize(out, "processed")
-    cols = back.select("farm_id", "yield_per_day", "water_efficiency", "processed_by", F.col("processed_at").isNotNull().alias("stamped"))
-    return pr.rounded(cols, 6)
+    return back.select("farm_id", "yield_per_day", "water_efficiency", "processed_by", F.col("processed_at").isNotNull().alias("stamped"))

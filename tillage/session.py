@@ -44,10 +44,23 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/tillage/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df, name: str):
+def materialize(df, name: str, spread: bool = False):
     """Write ``df`` once to the shared folder and read it back: cuts the lineage and
-    survives the loss of any executor."""
+    survives the loss of any executor. Its true size is known from then on, so a join with
+    it broadcasts only what is small.
+
+    With ``spread``, a table of few file splits is dealt out to all cores, for the jobs that
+    spend their time on the rows and not on reading them.
+    """
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    if spread and back.rdd.getNumPartitions() < task_count(spark):
+        return back.repartition(task_count(spark))
+    return back
+
+
+def task_count(spark: SparkSession) -> int:
+    """Tasks of a shuffle, as the session sets them."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
