@@ -231,12 +231,15 @@ def nearest(
         # a chunk of points is needed once per chunk of queries of its cell
         wanted = spread.select("__cell", "__pc", "__qc").distinct()
         sides = located.select(*features, "label", "__fold", *extra, "__w", "__cell", "__pc").join(wanted, ["__cell", "__pc"])
+        # names of its own: both sides descend from the same queries
+        sides = sides.withColumnsRenamed({c: f"{c}_p" for c in ("__cell", "__pc", "__qc")})
         left = spread.select("__q", *features, "__fold", "__cell", "__pc", "__qc")
         by = ["__cell", "__pc", "__qc"]
         # a fixed number of tasks: the groups are small in bytes and heavy in arithmetic, and
         # would otherwise be merged into a few tasks
-        left, sides = left.repartition(tasks, *by), sides.repartition(tasks, *by)
-        return left.groupBy(*by).cogroup(sides.groupBy(*by)).applyInPandas(meet, schema)
+        theirs = [f"{c}_p" for c in by]
+        left, sides = left.repartition(tasks, *by), sides.repartition(tasks, *theirs)
+        return left.groupBy(*by).cogroup(sides.groupBy(*theirs)).applyInPandas(meet, schema)
 
     order = [F.col("distance"), F.col("label"), *([F.col("__tag")] if tag else [])]
     running = W.partitionBy("__q").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)

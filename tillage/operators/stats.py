@@ -13,13 +13,20 @@ from tillage.operators.profile import YIELD
 from tillage.session import materialize
 
 
+def pearson(x: str, y: str) -> Column:
+    """Pearson correlation over the rows that hold both values; missing where one does not vary
+    (the built-in function divides by zero there)."""
+    spread = F.sqrt(F.regr_sxx(F.col(y), F.col(x)) * F.regr_syy(F.col(y), F.col(x)))
+    return F.try_divide(F.regr_sxy(F.col(y), F.col(x)), spread)
+
+
 def correlations(df: DataFrame, columns: list[str], full: bool = True) -> DataFrame:
     """Pairwise-complete Pearson correlations of all columns, long form, from one aggregate.
 
     ``full`` gives the whole matrix, otherwise the part below the diagonal.
     """
     pairs = list(combinations(range(len(columns)), 2))
-    one = df.agg(*[F.corr(columns[i], columns[j]).alias(f"r_{i}_{j}") for i, j in pairs])
+    one = df.agg(*[pearson(columns[i], columns[j]).alias(f"r_{i}_{j}") for i, j in pairs])
     cells = []
 
     def cell(i, j, r):
@@ -46,7 +53,7 @@ def correlations(df: DataFrame, columns: list[str], full: bool = True) -> DataFr
 def target_correlations(df: DataFrame, columns: list[str], target: str = YIELD) -> DataFrame:
     """Correlation of each column with the target, by strength."""
     others = [c for c in columns if c != target]
-    one = df.agg(*[F.corr(c, target).alias(c) for c in others])
+    one = df.agg(*[pearson(c, target).alias(c) for c in others])
     out = one.unpivot([], others, "feature", "r")
     return out.withColumns(
         {"direction": F.when(F.col("r") > 0, "up").otherwise("down"), "strength": ag.strength_three("r")}
@@ -55,7 +62,7 @@ def target_correlations(df: DataFrame, columns: list[str], target: str = YIELD)
 
 def pair_correlation(df: DataFrame, x: str, y: str) -> DataFrame:
     """r and r squared; 0 where a column does not vary."""
-    r = F.coalesce(F.corr(x, y), F.lit(0.0))
+    r = F.coalesce(pearson(x, y), F.lit(0.0))
     return df.agg(F.count(F.when(F.col(x).isNotNull() & F.col(y).isNotNull(), 1)).alias("n"), r.alias("r"), (r * r).alias("r_squared"))
 
 
@@ -199,7 +206,7 @@ def pair_statistics(df: DataFrame, x: str, y: str) -> DataFrame:
     rows = df.where(_both(x, y))
     base = rows.agg(
         F.count("*").alias("n"),
-        F.coalesce(F.corr(x, y), F.lit(0.0)).alias("r"),
+        F.coalesce(pearson(x, y), F.lit(0.0)).alias("r"),
         F.min(x).alias("x_min"),
         F.max(x).alias("x_max"),
         F.min(y).alias("y_min"),
