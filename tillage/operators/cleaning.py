@@ -125,6 +125,14 @@ def missing_total(df: DataFrame, name: str) -> DataFrame:
     )
 
 
+def with_missing(df: DataFrame, columns: list[str]) -> list[str]:
+    """The columns that miss a value: one aggregate, one row to the driver."""
+    if not columns:
+        return []
+    row = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
+    return [c for c in columns if row[c]]
+
+
 def fill_lenient(df: DataFrame) -> DataFrame:
     """Median for numbers, most frequent label for text."""
     numbers = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]

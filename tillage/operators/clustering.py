@@ -24,7 +24,7 @@ SEED = 42
 def prepared(df: DataFrame, features: list[str] | None = None) -> DataFrame:
     """Features filled by their median; the standardised vector comes next to them."""
     features = existing(df, features or FEATURES)
-    filled = cleaning.median_fill(df, features)
+    filled = cleaning.median_fill(df, cleaning.with_missing(df, features))
     scale = neighbours.scale_row(filled, features)
     joined = filled.crossJoin(F.broadcast(scale))
     z = {f"__z_{f}": (F.col(f) - F.col(f"__mean_{f}")) / F.col(f"__std_{f}") for f in features}

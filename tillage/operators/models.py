@@ -14,6 +14,7 @@ from tillage.functions import agronomy as ag
 from tillage.operators import cleaning, neighbours
 from tillage.operators.orderstats import RANK, join_on_keys, order_statistics
 from tillage.operators.profile import YIELD, existing
+from tillage.session import materialize
 
 # Model inputs.
 NUMERIC_BASE = [
@@ -47,7 +48,10 @@ def feature_lists(df: DataFrame, exclude_leaky: bool = False) -> tuple[list[str]
 
 
 def prepared(df: DataFrame, numeric: list[str], categorical: list[str]) -> DataFrame:
-    return cleaning.mode_fill(cleaning.median_fill(df, numeric), categorical)
+    """The rows of a training run, written once, with the columns filled that need it."""
+    stored = materialize(df, "training", spread=True)
+    filled = cleaning.median_fill(stored, cleaning.with_missing(stored, numeric))
+    return cleaning.mode_fill(filled, cleaning.with_missing(stored, categorical))
 
 
 def preprocessor(numeric: list[str], categorical: list[str]) -> list:
@@ -233,7 +237,7 @@ def aligned(df: DataFrame, trained: list[str]) -> DataFrame:
 def disease_rows(df: DataFrame, key: str, label: str = "crop_disease_status") -> DataFrame:
     """Features with missing values filled by the median, and the class label."""
     features = existing(df, DISEASE_FEATURES)
-    filled = cleaning.median_fill(df.select(key, label, *features), features)
+    filled = cleaning.median_fill(df, cleaning.with_missing(df, features))
     return filled.where(F.col(label).isNotNull())
 
 

@@ -29,6 +29,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 CHUNK = 20_000  # points or queries of one cell that meet in one task
 CELL_ROWS = 500  # points per cell that a small table aims at
 MAX_CELLS = 1024  # bound of the cell list that every task holds
+FEW = 1000  # so many queries travel to the points instead of meeting them by cell
 SAMPLE = 20_000  # rows that place the cuts; the cuts steer the speed, not the result
 DIGITS = 9
 
@@ -154,6 +155,14 @@ def _closest(queries: pd.DataFrame, points: pd.DataFrame, features: list[str], k
     return pd.concat(out) if out else pd.DataFrame(columns=["__q", "distance", "label", "n"])
 
 
+def _trim(found: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The first k rows' worth of candidates per query."""
+    by = [c for c in ("__q", "distance", "label", "__tag") if c in found.columns]
+    found = found.groupby(by, as_index=False, sort=True)["n"].sum()
+    before = found.groupby("__q")["n"].cumsum() - found["n"]
+    return found[before < k]
+
+
 def _chunked(df: DataFrame, keys: list[str], key_hash, name: str) -> DataFrame:
     """Adds a chunk number per cell such that a chunk holds about CHUNK rows."""
     sizes = df.groupBy(*keys).agg(F.ceil(F.count("*") / CHUNK).cast("int").alias(f"{name}s"))
@@ -192,6 +201,47 @@ def nearest(
         *([F.col(tag).cast("string").alias("__tag")] if tag else []),
     )
     extra = ["__tag"] if tag else []
+
+    order = [F.col("distance"), F.col("label"), *([F.col("__tag")] if tag else [])]
+    running = W.partitionBy("__q").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+
+    def best(found: DataFrame) -> DataFrame:
+        """The k nearest of the candidates: a window over at most k rows per chunk searched."""
+        merged = found.groupBy("__q", "distance", "label", *extra).agg(F.sum("n").alias("n"))
+        merged = merged.withColumn("__end", F.sum("n").over(running))
+        return merged.where(F.col("__end") - F.col("n") < k)
+
+    def ranked(merged: DataFrame) -> DataFrame:
+        taken = F.least(F.col("n"), F.lit(k) - (F.col("__end") - F.col("n")))
+        rank = F.row_number().over(W.partitionBy("__q").orderBy(*order))
+        found = merged.select("__q", rank.alias("rank"), "distance", "label", *extra, "n", taken.cast("bigint").alias("taken"))
+        names_out = [F.col("__key").alias(key), "rank", "distance", "label", "n", "taken"]
+        if tag:
+            names_out.append(F.col("__tag").alias(tag))
+        # one answer per key: rows that share a key share their vector
+        return q.select("__key", "__q").distinct().join(found, "__q").select(*names_out)
+
+    schema = "__q string, distance double, label string, n bigint" + (", __tag string" if tag else "")
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    few = sites.limit(FEW + 1).toPandas()
+    if len(few) <= FEW:
+        few_sites = few
+
+        def scan(batches):
+            """The nearest points of one partition for every query: at most k per query."""
+            kept = None
+            for b in batches:
+                near = _closest(few_sites, b, features, k, folds)[names]
+                if kept is not None:
+                    near = _trim(pd.concat([kept, near]), k)
+                kept = near
+            if kept is not None:
+                yield kept
+
+        return ranked(best(p.withColumn("__w", F.lit(1).cast("bigint")).mapInPandas(scan, schema)))
+
+    # ---- equal points of the other path collapse, too
     places = materialize(p.groupBy(*features, "label", "__fold", *extra).agg(F.count("*").alias("__w")), "places")
 
     # ---- cells from a bounded sample
@@ -216,9 +266,6 @@ def nearest(
         located.groupBy("__cell").agg(F.max("__pcs").alias("__pcs")), "chunks"
     )
 
-    schema = "__q string, distance double, label string, n bigint" + (", __tag string" if tag else "")
-    names = [c.split()[0] for c in schema.split(", ")]
-
     def meet(_key, left, right):
         if len(left) == 0 or len(right) == 0:
             return pd.DataFrame(columns=names)
@@ -241,15 +288,6 @@ def nearest(
         left, sides = left.repartition(tasks, *by), sides.repartition(tasks, *theirs)
         return left.groupBy(*by).cogroup(sides.groupBy(*theirs)).applyInPandas(meet, schema)
 
-    order = [F.col("distance"), F.col("label"), *([F.col("__tag")] if tag else [])]
-    running = W.partitionBy("__q").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-
-    def best(found: DataFrame) -> DataFrame:
-        """The k nearest of the candidates: a window over at most k rows per chunk searched."""
-        merged = found.groupBy("__q", "distance", "label", *extra).agg(F.sum("n").alias("n"))
-        merged = merged.withColumn("__end", F.sum("n").over(running))
-        return merged.where(F.col("__end") - F.col("n") < k)
-
     near = materialize(best(search(with_cell(sites))), "near")
     reach = near.groupBy("__q").agg(
         F.when(F.max("__end") >= k, F.max("distance")).otherwise(F.lit(float("inf"))).alias("__reach")
@@ -268,14 +306,4 @@ def nearest(
 
     fields = ", ".join(f"`{n}` {t}" for n, t in sites.dtypes) + ", __cell int"
     further = search(bounded.mapInPandas(neighbours_cells, fields))
-    merged = best(near.select(*names).unionByName(further))
-    taken = F.least(F.col("n"), F.lit(k) - (F.col("__end") - F.col("n")))
-    ranked = merged.select(
-        "__q", F.row_number().over(W.partitionBy("__q").orderBy(*order)).alias("rank"), "distance", "label", *extra, "n",
-        taken.cast("bigint").alias("taken"),
-    )
-    names_out = [F.col("__key").alias(key), "rank", "distance", "label", "n", "taken"]
-    if tag:
-        names_out.append(F.col("__tag").alias(tag))
-    # one answer per key: rows that share a key share their vector
-    return q.select("__key", "__q").distinct().join(ranked, "__q").select(*names_out)
+    return ranked(best(near.select(*names).unionByName(further)))

@@ -26,28 +26,32 @@ def correlations(df: DataFrame, columns: list[str], full: bool = True) -> DataFr
     ``full`` gives the whole matrix, otherwise the part below the diagonal.
     """
     pairs = list(combinations(range(len(columns)), 2))
-    one = df.agg(*[pearson(columns[i], columns[j]).alias(f"r_{i}_{j}") for i, j in pairs])
-    cells = []
-
-    def cell(i, j, r):
-        cells.append(
-            F.struct(
-                F.lit(columns[i]).alias("row"),
-                F.lit(columns[j]).alias("column"),
-                F.lit(i).cast("bigint").alias("i"),
-                F.lit(j).cast("bigint").alias("j"),
-                r.alias("r"),
-            )
+
+    def named(i, j):
+        return F.struct(
+            F.lit(i).cast("bigint").alias("i"),
+            F.lit(j).cast("bigint").alias("j"),
+            F.col(columns[i]).cast("double").alias("x"),
+            F.col(columns[j]).cast("double").alias("y"),
         )
 
-    for i, j in pairs:
-        cell(j, i, F.col(f"r_{i}_{j}"))
-        if full:
-            cell(i, j, F.col(f"r_{i}_{j}"))
-    if full:
-        for i in range(len(columns)):
-            cell(i, i, F.lit(1.0))
-    return one.select(F.inline(F.array(*cells)))
+    # the pairs of a row meet one small hash aggregate; as many hundred aggregates of one
+    # row would be too much code to compile. They combine within the task that read the row.
+    rows = df.select(F.inline(F.array(*[named(i, j) for i, j in pairs])))
+    found = rows.groupBy("i", "j").agg(pearson("x", "y").alias("r"))
+    names = F.array(*[F.lit(c) for c in columns])
+
+    def cells(i, j):
+        return found.select(names[F.col(i)].alias("row"), names[F.col(j)].alias("column"), F.col(i).alias("i"), F.col(j).alias("j"), "r")
+
+    below = cells("j", "i")
+    if not full:
+        return below
+    numbers = [(c, c, k, k, 1.0) for k, c in enumerate(columns)]
+    diagonal = df.sparkSession.createDataFrame(numbers, "row string, column string, i bigint, j bigint, r double")
+    mirror = F.array(F.struct("row", "column", "i", "j", "r"), F.struct(
+        F.col("column").alias("row"), F.col("row").alias("column"), F.col("j").alias("i"), F.col("i").alias("j"), "r"))
+    return below.select(F.inline(mirror)).unionByName(diagonal)
 
 
 def target_correlations(df: DataFrame, columns: list[str], target: str = YIELD) -> DataFrame:

@@ -161,18 +161,53 @@ def extend_time(time: DataFrame, prices: DataFrame) -> DataFrame:
     return dim_time(dates, time)
 
 
+def members(df: DataFrame) -> DataFrame:
+    """The members of all dimensions from one pass: kind, label, extra and mean price.
+
+    Every row names its six members; they combine within the task that read the row.
+    """
+    text = F.lit(None).cast("string")
+    price = F.col("price_per_kg_EUR") if "price_per_kg_EUR" in df.columns else F.lit(None).cast("double")
+    named = F.array(
+        *[
+            F.struct(F.lit(kind).alias("kind"), F.col(c).cast("string").alias("label"), extra.alias("extra"))
+            for kind, c, extra in (
+                ("crop", "crop_type", text),
+                ("region", "region", F.col("country")),
+                ("irrigation", "irrigation_type", text),
+                ("disease", "crop_disease_status", text),
+                ("day", "sowing_date", text),
+                ("day", "harvest_date", text),
+            )
+        ]
+    )
+    rows = df.select(F.inline(named), price.alias("price"))
+    return rows.where(F.col("label").isNotNull()).groupBy("kind", "label", "extra").agg(F.avg("price").alias("price"))
+
+
 def warehouse_of(df: DataFrame, prices: DataFrame | None = None, rice: DataFrame | None = None) -> dict[str, DataFrame]:
-    """All tables of the warehouse. Dimensions are written once to the shared folder, so the
-    facts look up stored tables of known size instead of recomputing them."""
-    time = dim_time(farm_dates(df))
+    """All tables of the warehouse.
+
+    The members are written once to the shared folder. What derives from that small table has
+    a known size, so the facts look their keys up by broadcast as long as it stays small.
+    """
+    known = materialize(members(df), "members")
+
+    def of(kind):
+        return known.where(F.col("kind") == kind)
+
+    crops = of("crop").select(F.col("label").alias("crop_type"), F.col("price").alias("price_per_kg_EUR"))
+    regions = of("region").groupBy(F.col("label").alias("region_name")).agg(F.min("extra").alias("country"))
+    days = of("day").select(F.to_date("label").alias("full_date"))
+    time = dim_time(days)
     if prices is not None:
-        time = extend_time(materialize(time, "dim_time_farm"), prices)
+        time = extend_time(time, prices)
     tables = {
-        "crop": materialize(dim_crop(df), "dim_crop"),
-        "region": materialize(dim_region(df), "dim_region"),
-        "irrigation": materialize(dim_irrigation(df), "dim_irrigation"),
-        "disease": materialize(dim_disease(df), "dim_disease"),
-        "time": materialize(time, "dim_time"),
+        "crop": insert_if_absent(crops, "crop_type", "crop_id"),
+        "region": insert_if_absent(regions, "region_name", "region_id"),
+        "irrigation": insert_if_absent(of("irrigation").select(F.col("label").alias("irrigation_type")), "irrigation_type", "irrigation_id"),
+        "disease": insert_if_absent(of("disease").select(F.col("label").alias("disease_status")), "disease_status", "disease_id"),
+        "time": materialize(time, "dim_time") if prices is not None else time,
     }
     tables["production"] = fact_production(df, tables)
     if prices is not None:

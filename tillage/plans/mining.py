@@ -74,14 +74,14 @@ def rules_sql(body):
 
 
 def _itemsets(spark, d):
-    # the baskets are read by the counting and by the tree building; written once, the
-    # farm joins and the quantiles behind them run a single time
+    # the baskets are read several times; written once, the farm joins and the quantiles
+    # behind them run a single time
     baskets = materialize(mining.transactions(mining.discretise(farm(spark, d, *_INPUTS))), "baskets", spread=True)
     return mining.frequent_itemsets(baskets)
 
 
 def _rules(spark, d):
-    return mining.association_rules(materialize(_itemsets(spark, d), "itemsets"))
+    return mining.association_rules(_itemsets(spark, d))
 
 
 @query("r01_discretised", farm_sql(

@@ -81,8 +81,7 @@ _SMALL = {"trees": 10, "depth": 6, "rounds": 10, "boost_depth": 4, "rate": 0.05}
 def _sets(spark, d, exclude_leaky=False):
     df = farm(spark, d, *_KEY, Y, *_NUMERIC, *_LABELS)
     numeric, labels = models.feature_lists(df, exclude_leaky)
-    # both sets are read by every model; written once, the joins behind them run one time
-    ready = materialize(models.prepared(df, numeric, labels), "training", spread=True)
+    ready = models.prepared(df, numeric, labels)
     return (*models.split(ready, _KEY), numeric, labels)
 
 
@@ -194,7 +193,7 @@ def _disease_sets(spark, d):
     df = farm(spark, d, *_KEY, "crop_disease_status", *models.DISEASE_FEATURES)
     key = F.md5(F.concat_ws("|", *_KEY, *[F.col(c).cast("string") for c in models.DISEASE_FEATURES]))
     parts = models.stratified_split(df, "crop_disease_status", _KEY).withColumn("row_key", key)
-    rows = materialize(models.disease_rows(parts, "row_key").join(parts.select("row_key", "in_train").distinct(), "row_key"), "disease")
+    rows = models.disease_rows(materialize(parts, "disease", spread=True), "row_key")
     return rows.where("in_train"), rows.where("NOT in_train")
 
 
@@ -326,7 +325,8 @@ _CLUSTER_COLUMNS = ["farm_id", "region", "crop_type", *clustering.FEATURES]
 
 
 def _ready(spark, d):
-    return materialize(clustering.prepared(farm(spark, d, *_CLUSTER_COLUMNS)), "cluster-input", spread=True)
+    stored = materialize(farm(spark, d, *_CLUSTER_COLUMNS), "cluster-rows", spread=True)
+    return materialize(clustering.prepared(stored), "cluster-input")
 
 
 def _selected(spark, d):
