@@ -5,9 +5,10 @@ buffer. Here no task ever holds a group:
 
 1. rows collapse to (group, bucket, value, count), combined before the shuffle, so equal
    values cost nothing and a hot group spreads over all tasks by value;
-2. ``bucket`` is a monotone function of the value, about 0.3 % wide, so the number of
-   buckets of a group is bounded by the range of a double, not by its rows; running
-   counts over the buckets tell exactly which bucket holds each wanted rank;
+2. ``bucket`` is a monotone function of the value: a step of about 0.3 % of its size, and
+   within that a thousandth of the range of all values, so that neither a long tail nor a
+   narrow band of values fills one bucket. The number of buckets is bounded, whatever the
+   rows; running counts over them tell exactly which bucket holds each wanted rank;
 3. only the values of those buckets are ranked, one bucket per window partition.
 
 A bad bucketing could only make step 3 slower, never wrong.
@@ -24,6 +25,7 @@ UPPER = "upper"  # the value at position floor(n * p), no interpolation
 RANK = "rank"  # the ceil(n * p)-th smallest value
 
 _BUCKETS_PER_OCTAVE = 256
+_STEPS = 1024
 
 
 def _bucket(value):
@@ -53,15 +55,21 @@ def order_statistics(
     """
     k = [f"__k{i}" for i in range(len(keys))]
     rows = df.select(*[F.col(c).alias(a) for c, a in zip(keys, k)], F.col(value).cast("double").alias("__v"))
-    rows = rows.where(F.col("__v").isNotNull() & ~F.isnan("__v")).withColumn("__b", _bucket(F.col("__v")))
-    # the join below would infer this filter on one of its two uses of ``values`` only,
-    # and the shuffle of the counts would then not be shared between them
-    rows = rows.where(F.col("__b").isNotNull())
-    values = rows.groupBy(*k, "__b", "__v").agg(F.count("*").alias("__c"))
+    # the join below would infer the last of these filters on one of its two uses of ``values``
+    # only, and the shuffle of the counts would then not be shared between them
+    rows = rows.where(F.col("__v").isNotNull() & ~F.isnan("__v") & _bucket(F.col("__v")).isNotNull())
+    values = rows.groupBy(*k, "__v").agg(F.count("*").alias("__c"))
+    ends = values.agg(F.min("__v").alias("__min"), F.max("__v").alias("__max"))
+    step = F.try_divide(F.col("__v") - F.col("__min"), F.col("__max") - F.col("__min")) * _STEPS
+    values = (
+        values.crossJoin(F.broadcast(ends))
+        .withColumns({"__b": _bucket(F.col("__v")), "__s": F.coalesce(F.floor(step), F.lit(0))})
+        .drop("__min", "__max")
+    )
 
-    buckets = values.groupBy(*k, "__b").agg(F.sum("__c").alias("__bc"))
+    buckets = values.groupBy(*k, "__b", "__s").agg(F.sum("__c").alias("__bc"))
     group = W.partitionBy(*k) if k else W.partitionBy(F.lit(0))
-    running = group.orderBy("__b").rowsBetween(W.unboundedPreceding, W.currentRow)
+    running = group.orderBy("__b", "__s").rowsBetween(W.unboundedPreceding, W.currentRow)
     buckets = buckets.withColumns(
         {
             "__n": F.sum("__bc").over(group),
@@ -75,13 +83,13 @@ def order_statistics(
         for edge in (F.floor(pos), F.ceil(pos)):
             hit = hit | ((edge >= before) & (edge < before + F.col("__bc")))
     targets = buckets.where(hit).select(
-        *[F.col(c).alias(f"{c}t") for c in k], F.col("__b").alias("__bt"), "__n", "__before"
+        *[F.col(c).alias(f"{c}t") for c in k], F.col("__b").alias("__bt"), F.col("__s").alias("__st"), "__n", "__before"
     )
 
-    on = F.col("__b") == F.col("__bt")
+    on = (F.col("__b") == F.col("__bt")) & (F.col("__s") == F.col("__st"))
     for c in k:
         on = on & F.col(c).eqNullSafe(F.col(f"{c}t"))
-    inside = W.partitionBy(*k, "__b").orderBy("__v").rowsBetween(W.unboundedPreceding, W.currentRow)
+    inside = W.partitionBy(*k, "__b", "__s").orderBy("__v").rowsBetween(W.unboundedPreceding, W.currentRow)
     ranked = values.join(targets, on).withColumn("__end", F.col("__before") + F.sum("__c").over(inside))
     start, end = F.col("__end") - F.col("__c"), F.col("__end")
 

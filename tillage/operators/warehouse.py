@@ -162,27 +162,33 @@ def extend_time(time: DataFrame, prices: DataFrame) -> DataFrame:
 
 
 def members(df: DataFrame) -> DataFrame:
-    """The members of all dimensions from one pass: kind, label, extra and mean price.
+    """The members of all dimensions: kind, label, extra and mean price.
 
-    Every row names its six members; they combine within the task that read the row.
+    Rows collapse to their combination of labels, and to their days, within the task that read
+    them; only those short lists are taken apart into members.
     """
     text = F.lit(None).cast("string")
     price = F.col("price_per_kg_EUR") if "price_per_kg_EUR" in df.columns else F.lit(None).cast("double")
+    labels = ["crop_type", "region", "country", "irrigation_type", "crop_disease_status"]
+    combined = df.groupBy(*labels).agg(F.sum(price).alias("s"), F.count(price).alias("c"))
     named = F.array(
         *[
-            F.struct(F.lit(kind).alias("kind"), F.col(c).cast("string").alias("label"), extra.alias("extra"))
+            F.struct(F.lit(kind).alias("kind"), F.col(c).alias("label"), extra.alias("extra"))
             for kind, c, extra in (
                 ("crop", "crop_type", text),
                 ("region", "region", F.col("country")),
                 ("irrigation", "irrigation_type", text),
                 ("disease", "crop_disease_status", text),
-                ("day", "sowing_date", text),
-                ("day", "harvest_date", text),
             )
         ]
     )
-    rows = df.select(F.inline(named), price.alias("price"))
-    return rows.where(F.col("label").isNotNull()).groupBy("kind", "label", "extra").agg(F.avg("price").alias("price"))
+    rows = combined.select(F.inline(named), "s", "c").where(F.col("label").isNotNull())
+    named_rows = rows.groupBy("kind", "label", "extra").agg(F.try_divide(F.sum("s"), F.sum("c")).alias("price"))
+    days = farm_dates(df).select(
+        F.lit("day").alias("kind"), F.col("full_date").cast("string").alias("label"), text.alias("extra"),
+        F.lit(None).cast("double").alias("price"),
+    )
+    return named_rows.unionByName(days)
 
 
 def warehouse_of(df: DataFrame, prices: DataFrame | None = None, rice: DataFrame | None = None) -> dict[str, DataFrame]:
