@@ -394,7 +394,26 @@ def test_allocation_cannot_be_improved(spark):
 
 
 def test_shared_folder_comes_from_the_session(spark):
-    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    assert shared_folder(spark) == named.rstrip("/") if named else "tillage-shared" in shared_folder(spark)
+
+
+def test_cluster_without_shared_folder_is_an_error():
+    class Conf:
+        @staticmethod
+        def get(key, default=None):
+            return default
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+    class Session:
+        conf, sparkContext = Conf, Context
+
+    with pytest.raises(RuntimeError):
+        shared_folder(Session)
+    Context.master = "local[2]"
+    assert shared_folder(Session).endswith("tillage-shared")
 
 
 def test_product_prices_keep_commas_and_quotes(spark, tmp_path):

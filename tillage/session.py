@@ -33,9 +33,7 @@ def shared_folder(spark: SparkSession) -> str:
     if base:
         return base.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
-        base = os.path.join(tempfile.gettempdir(), "tillage-shared")
-        spark.conf.set("spark.checkpoint.dir", base)
-        return base
+        return os.path.join(tempfile.gettempdir(), "tillage-shared")
     raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
 
 
