@@ -265,18 +265,26 @@ _TAG = "concat_ws('/', farm_id, sensor_id, CAST(round(yield_kg_per_hectare * 100
 _Z = " + ".join(f'power((q."{f}" - p."{f}") / s."{f}", 2)' for f in _SIM)
 
 
-@query("l21_similar_farms", farm_sql(
-    f"""SELECT region, tag, CAST(rank AS BIGINT) AS rank, round(distance, 4) AS distance, round(coalesce(1 - distance / nullif(max(distance) OVER (PARTITION BY region), 0), 1), 3) AS similarity_score FROM (
-      SELECT region, tag, distance, row_number() OVER (PARTITION BY region ORDER BY round(distance, 9), tag) AS rank FROM (
-        SELECT q.region, p.tag, sqrt({_Z}) AS distance FROM asked q, (SELECT *, {_TAG} AS tag FROM farm) p, spread s)) WHERE rank <= 5""",
-    "spread AS (SELECT " + ", ".join(f'stddev_pop("{f}") AS "{f}"' for f in _SIM) + " FROM farm)",
-    "asked AS (SELECT region, " + ", ".join(f'round(avg("{f}"), 3) AS "{f}"' for f in _SIM) + " FROM farm GROUP BY region)"))
-def _(spark, d):
-    df = farm(spark, d, *_KEY, "region", Y, *_SIM)
-    tag = F.concat_ws("/", "farm_id", "sensor_id", F.round(F.col(Y) * 100).cast("bigint").cast("string"))
-    asked = df.groupBy("region").agg(*[F.round(F.avg(f), 3).alias(f) for f in _SIM])
-    out = models.similar_farms(asked, df.withColumn("tag", tag), "region", "tag")
-    return pr.rounded(out.withColumns({"rank": F.col("rank").cast("bigint"), "distance": F.round("distance", 4)}), 4)
+def _similar_sql(by: str) -> str:
+    return farm_sql(
+        f"""SELECT {by}, tag, CAST(rank AS BIGINT) AS rank, round(distance, 4) AS distance, round(coalesce(1 - distance / nullif(max(distance) OVER (PARTITION BY {by}), 0), 1), 3) AS similarity_score FROM (
+          SELECT {by}, tag, distance, row_number() OVER (PARTITION BY {by} ORDER BY round(distance, 9), tag) AS rank FROM (
+            SELECT q.{by}, p.tag, sqrt({_Z}) AS distance FROM asked q, (SELECT *, {_TAG} AS tag FROM farm) p, spread s)) WHERE rank <= 5""",
+        "spread AS (SELECT " + ", ".join(f'stddev_pop("{f}") AS "{f}"' for f in _SIM) + " FROM farm)",
+        f"asked AS (SELECT {by}, " + ", ".join(f'round(avg("{f}"), 3) AS "{f}"' for f in _SIM) + f" FROM farm GROUP BY {by})",
+    )
+
+
+# query rows against the whole table: the mean farm of each region, and of each crop
+for _key, _by in (("l21_similar_farms", "region"), ("j08_query_rows_by_table", "crop_type")):
+
+    @query(_key, _similar_sql(_by))
+    def _(spark, d, by=_by):
+        df = farm(spark, d, *_KEY, by, Y, *_SIM)
+        tag = F.concat_ws("/", "farm_id", "sensor_id", F.round(F.col(Y) * 100).cast("bigint").cast("string"))
+        asked = df.groupBy(by).agg(*[F.round(F.avg(f), 3).alias(f) for f in _SIM])
+        out = models.similar_farms(asked, df.withColumn("tag", tag), by, "tag")
+        return pr.rounded(out.withColumns({"rank": F.col("rank").cast("bigint"), "distance": F.round("distance", 4)}), 4)
 
 
 _WANTED = {"crop_type": "SMALL", "region": "NATION_9", "soil_moisture_pct": 45.0, "soil_pH": 6.5, "temperature_C": 25.0, "rainfall_mm": 240.0, "NDVI_index": 0.6}
