@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillage.llm.ann import nearest
 from tillage.llm.bpe import bpe_encode
 from tillage.llm.common import table
 from tillage.llm.line_dedup import line_dedup
+from tillage.llm.minhash import near_duplicates
 from tillage.llm.token_files import token_files
+from tillage.llm.toxicity import fit_toxicity, score_toxicity
 from tillage.llm.url_filter import filter_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +50,32 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@_query("op4_minhash")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"), percent=85, shingle=3)
+
+
+@_query("op6_ann")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest(table(spark, folder, "embeddings"))
+
+
+def held_out(doc_id="doc_id"):
+    return F.crc32(F.col(doc_id).cast("string")) % 4 == 2
+
+
+def toxicity_model(spark: SparkSession, folder: str):
+    labels = table(spark, folder, "labels").where(~held_out())
+    return fit_toxicity(table(spark, folder, "documents"), labels)
+
+
+@_query("op7_toxicity")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = score_toxicity(docs, toxicity_model(spark, folder))
+    return scored.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 # the rule list of the query, a fixed value
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
