@@ -12,6 +12,8 @@ from tillage.llm.bpe import bpe_encode
 from tillage.llm.common import table
 from tillage.llm.line_dedup import line_dedup
 from tillage.llm.minhash import near_duplicates
+from tillage.llm.substring_dedup import substring_dedup
+from tillage.llm.suffix_dedup import suffix_dedup
 from tillage.llm.token_files import token_files
 from tillage.llm.toxicity import fit_toxicity, score_toxicity
 from tillage.llm.url_filter import filter_urls
@@ -50,6 +52,16 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@_query("op1_suffix_dedup")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup(table(spark, folder, "documents"), texts=False)
+
+
+@_query("op5_substring_dedup")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup(table(spark, folder, "documents"), texts=False)
+
+
 @_query("op4_minhash")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), percent=85, shingle=3)
