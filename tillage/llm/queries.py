@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tillage.llm.ann import nearest
 from tillage.llm.bpe import bpe_encode
 from tillage.llm.common import table
+from tillage.llm.decontaminate import flag_contaminated
 from tillage.llm.line_dedup import line_dedup
 from tillage.llm.minhash import near_duplicates
 from tillage.llm.substring_dedup import substring_dedup
@@ -62,6 +63,13 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup(table(spark, folder, "documents"), texts=False)
 
 
+@_query("op3_decontamination")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    flagged = flag_contaminated(docs, table(spark, folder, "benchmark"))
+    return flagged.where("contaminated").select("doc_id", "item_id", "overlap", "contaminated")
+
+
 @_query("op4_minhash")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), percent=85, shingle=3)
