@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,102 +18,113 @@ def _usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     all zero, and as long as the longest of them."""
     v = F.col("vector")
     fine = v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))) & F.exists(v, lambda x: x != 0)
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"))
     rows = rows.where(F.col("id").isNotNull() & F.coalesce(fine, F.lit(False)))
     return rows.crossJoin(F.broadcast(rows.agg(F.max(F.size("vector")).alias("longest")))).where(F.size("vector") == F.col("longest")).drop("longest")
 
 
-def fit_planes(rows: DataFrame, trees: int, sample: int, seed: int = 1) -> tuple[np.ndarray, np.ndarray] | None:
-    """Random directions and their median cuts. The medians come from at most ``sample`` rows (the
-    smallest by a hash of the vector); every row is indexed with them."""
-    some = rows.select("vector", F.xxhash64("vector").alias("h")).orderBy("h").limit(sample).collect()
-    if not some:
-        return None
-    points = np.array([r["vector"] for r in some])
-    planes = np.random.default_rng(seed).standard_normal((points.shape[1], trees * BITS))
+def fit_planes(points: np.ndarray, trees: int, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """A direction per tree and bit, from one sampled vector to another, and its median."""
+    rng = np.random.default_rng(seed)
+    ends = rng.integers(0, len(points), (2, trees * BITS))
+    planes = (points[ends[0]] - points[ends[1]]).T
+    planes += 1e-3 * rng.standard_normal(planes.shape) * np.abs(points).max()  # two equal ends still part something
     return planes, np.median(points @ planes, axis=0)
 
 
-def nearest(vectors: DataFrame, k: int = 10, trees: int = 24, width: int = 160, candidates: int = 3000, sample: int = 20_000,
+def nearest(vectors: DataFrame, k: int = 10, trees: int = 80, width: int | None = None, sample: int = 10_000,
             id_col: str = "vec_id", vector_col: str = "embedding", every: int = 100) -> DataFrame:
     """The ``k`` nearest found of every row whose id is divisible by ``every``: query_id, rank from
     1, the id (as ``id_col``) and score, the Euclidean distance in double precision. Nearest first,
     ties to the smaller id; fewer rows where there are fewer candidates.
 
-    Each tree has a random hash string per vector, and its vectors are sorted by it. A query
-    descends to its place, where the longest common prefixes are, and takes up to ``width``
-    rows on either side. The trees then ascend together: level by level, from the longest
-    prefix down, all trees give their rows until ``candidates`` are reached, and these are
-    measured exactly. The sort is one range-partitioned shuffle; a query near the end of a range
-    takes more rows from the other side.
-
-    Equal vectors are one entry that carries its k + 1 smallest ids (no query can need more), so
-    a vector of which there are very many costs no more than others. Null vectors, vectors of zeros
-    and those with null or non-finite components take no part, nor do null ids; an id that
-    occurs twice counts as two rows. An empty table gives an empty result.
+    Each tree gives every vector a long hash string, and its vectors are sorted by it. A query
+    descends in all trees to the entries with the longest common prefix, and the trees ascend together
+    to shorter prefixes until each has given up to ``width`` entries on either side. These
+    are measured on the original vectors; a tree passes on the k + 1 nearest, which is all
+    that the result can take from it. By default ``width`` grows as the number of vectors to the power
+    0.6 (100 at least): by that it keeps its recall even on vectors without any
+    structure, of which it measures a falling share. The directions and medians come from
+    at most ``sample`` vectors, those of the smallest hash; all vectors are indexed.
+
+    The sorted arrays are one range-partitioned shuffle, so a prefix that very many vectors
+    share spreads over several tasks; a query near the end of a range takes more from the other side.
+    Equal vectors are one entry with its k + 1 smallest ids (no query can need more). Null vectors,
+    vectors of zeros, shorter ones than the longest, and those with null or non-finite components take
+    no part, nor do null ids; an id that occurs twice counts as two rows. An empty table
+    gives an empty result.
     """
     spark = vectors.sparkSession
-    rows = materialize(_usable(vectors, id_col, vector_col), "ann-rows")
-    fitted = fit_planes(rows, trees, sample)
-    schema = f"query_id long, rank int, {id_col} long, score double"
-    if fitted is None:
-        return spark.createDataFrame([], schema)
-    planes, cuts = fitted
+    single = dict(vectors.dtypes)[vector_col] == "array<float>"
+    kind = np.dtype("<f4" if single else "<f8")
+
+    def packed(batches):
+        for batch in batches:
+            column = batch.column("vector")
+            cells = [np.asarray(x, kind).tobytes() for x in column.to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(cells, pa.binary())], names=["id", "vector"])
+
+    rows = materialize(_usable(vectors, id_col, vector_col).mapInArrow(packed, "id long, vector binary"), "ann-rows")
+    some = rows.select("vector").orderBy(F.xxhash64("vector")).limit(sample).collect()
+    if not some:
+        return spark.createDataFrame([], f"query_id long, rank int, {id_col} long, score double")
+    planes, cuts = fit_planes(np.array([np.frombuffer(r["vector"], kind) for r in some], float), trees)
 
     first = Window.partitionBy("vector").orderBy("id")
-    entries = (
+    asked = rows.where(F.col("id") % every == 0)
+    distinct = (
         rows.withColumn("at", F.row_number().over(first)).where(F.col("at") <= k + 1)
         .groupBy("vector").agg(F.sort_array(F.collect_list("id")).alias("ids")))
-    asked = rows.where(F.col("id") % every == 0)
-    entries = materialize(entries.join(asked.select("vector").distinct().withColumn("asked", F.lit(True)), "vector", "left")
-                          .select("vector", "ids", F.col("asked").isNotNull().alias("asked"), F.xxhash64("vector").alias("entry")), "ann-entries")
+    entries = materialize(
+        distinct.join(asked.select("vector").distinct().withColumn("asked", F.lit(True)), "vector", "left")
+        .select("vector", "ids", F.col("asked").isNotNull().alias("asked"), F.xxhash64("vector").alias("entry"), F.col("ids")[0].alias("low")), "ann-entries")
+    n = entries.count()
+    reach = width or max(100, int(np.ceil(0.25 * n**0.6)))
     weights = (1 << np.arange(BITS - 1, -1, -1)).astype(np.int64)
 
     def hashed(batches):
-        for pdf in batches:
-            if not len(pdf):
-                continue
-            bits = np.stack(pdf["vector"].to_numpy()) @ planes > cuts
-            n = len(pdf)
-            keys = np.stack([bits[:, t * BITS : (t + 1) * BITS] @ weights for t in range(trees)], 1)
-            again = np.repeat(np.arange(n), trees)
-            yield pd.DataFrame({"tree": np.tile(np.arange(trees, dtype=np.int32), n), "key": keys.ravel(), "entry": pdf["entry"].to_numpy()[again],
-                                "asked": pdf["asked"].to_numpy()[again], "vector": pdf["vector"].to_numpy()[again]})
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                m = part.num_rows
+                points = np.frombuffer(b"".join(part.column("vector").to_pylist()), kind).reshape(m, -1)
+                bits = points @ planes > cuts
+                keys = np.stack([bits[:, t * BITS : (t + 1) * BITS] @ weights for t in range(trees)], 1)
+                again = pa.array(np.repeat(np.arange(m), trees))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.tile(np.arange(trees, dtype=np.int32), m)), pa.array(keys.ravel()), *(part.column(c).take(again) for c in ("entry", "low", "asked", "vector"))],
+                    names=["tree", "key", "entry", "low", "asked", "vector"])
 
     def neighbours(batches):
-        held = [p for p in batches if len(p)]
-        if not held:
+        held = pa.Table.from_batches(list(batches), schema=None) if (batches := [b for b in batches if b.num_rows]) else None
+        if held is None:
             return
-        pdf = pd.concat(held, ignore_index=True)
-        tree, key, entry = pdf["tree"].to_numpy(), pdf["key"].to_numpy(), pdf["entry"].to_numpy()
-        points = np.stack(pdf["vector"].to_numpy())
-        for q in np.flatnonzero(pdf["asked"].to_numpy()):
-            low, high = np.searchsorted(tree, tree[q]), np.searchsorted(tree, tree[q], "right")
-            a, b = max(low, q - width), min(high, q + width + 1)
-            a, b = max(low, min(a, b - 2 * width - 1)), min(high, max(b, a + 2 * width + 1))
-            # common prefix with the query: BITS less the length of the differing rest
-            apart = key[a:b] ^ key[q]
-            level = BITS - np.frexp(apart.astype(np.float64))[1].clip(0, BITS)
-            score = np.sqrt(((points[a:b] - points[q]) ** 2).sum(1))
-            yield pd.DataFrame({"query": entry[q], "entry": entry[a:b], "level": level.astype(np.int32), "score": score})
-
+        tree, entry, low, ask = (held.column(c).to_numpy() for c in ("tree", "entry", "low", "asked"))
+        points = np.frombuffer(b"".join(held.column("vector").to_pylist()), kind).reshape(len(tree), -1)
+        out = []
+        for q in np.flatnonzero(ask):
+            begin, end = np.searchsorted(tree, tree[q]), np.searchsorted(tree, tree[q], "right")
+            a, b = max(begin, q - reach), min(end, q + reach + 1)
+            a, b = max(begin, min(a, b - 2 * reach - 1)), min(end, max(b, a + 2 * reach + 1))
+            score = np.sqrt(((points[a:b].astype(float) - points[q].astype(float)) ** 2).sum(1))
+            best = np.lexsort((low[a:b], score))[: k + 1]
+            out.append((np.full(len(best), entry[q]), entry[a:b][best], low[a:b][best], score[best]))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], names=["query", "entry", "low", "score"])
+
+    parts = max(tasks(spark), trees, n * trees // 100_000)
     forest = (
-        entries.repartition(tasks(spark)).mapInPandas(hashed, "tree int, key long, entry long, asked boolean, vector array<double>")
-        .repartitionByRange(tasks(spark), "tree", "key", "entry").sortWithinPartitions("tree", "key", "entry"))
-    found = forest.mapInPandas(neighbours, "query long, entry long, level int, score double")
-    # ascend: of a query's rows (at most trees * (2 * width + 1)) those at the deepest levels, all
-    # rows of the last level included
-    best = found.groupBy("query", "entry").agg(F.max("level").alias("level"), F.first("score").alias("score"))
-    deep = Window.partitionBy("query").orderBy(F.desc("level"))
-    near = Window.partitionBy("query").orderBy("score", "entry")
+        entries.repartition(tasks(spark)).mapInArrow(hashed, "tree int, key long, entry long, low long, asked boolean, vector binary")
+        .repartitionByRange(parts, "tree", "key", "entry").sortWithinPartitions("tree", "key", "entry"))
+    found = forest.mapInArrow(neighbours, "query long, entry long, low long, score double")
+    near = Window.partitionBy("query").orderBy("score", "low", "entry")
     taken = (
-        best.withColumn("above", F.rank().over(deep)).where(F.col("above") <= candidates)
+        found.groupBy("query", "entry").agg(F.first("score").alias("score"), F.first("low").alias("low"))
         .withColumn("place", F.row_number().over(near)).where(F.col("place") <= k + 1).select("query", "entry", "score"))
     known = entries.select("entry", F.explode("ids").alias("id"))
-    order = Window.partitionBy("query_id").orderBy("score", "id")
-    queries = asked.select(F.col("id").alias("query_id"), F.xxhash64("vector").alias("query"))
     lists = taken.join(known, "entry").groupBy("query").agg(F.sort_array(F.collect_list(F.struct("score", "id"))).alias("found"))
-    return (
-        queries.join(lists, "query").select("query_id", F.explode("found").alias("f")).select("query_id", "f.score", "f.id")
-        .where("id <> query_id").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-        .select("query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias(id_col), "score"))
+    # a query's list has at most (k + 1) * (k + 1) ids; its own goes, the first k others stay
+    queries = asked.select(F.col("id").alias("query_id"), F.xxhash64("vector").alias("query"))
+    mine = queries.join(lists, "query").select("query_id", F.slice(F.filter("found", lambda f: f["id"] != F.col("query_id")), 1, k).alias("found"))
+    return mine.select("query_id", F.posexplode("found").alias("at", "f")).select(
+        "query_id", (F.col("at") + 1).alias("rank"), F.col("f.id").alias(id_col), F.col("f.score").alias("score"))

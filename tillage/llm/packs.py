@@ -112,7 +112,7 @@ def buckets_for(packs: DataFrame) -> int:
     return max(tasks(packs.sparkSession), packs.count() * PACK_BYTES >> 27)
 
 
-def repeated_anchors(packs: DataFrame, anchors: Callable, buckets: int, by_document: bool) -> DataFrame:
+def repeated_anchors(packs: DataFrame, anchors: Callable, buckets: int, by_document: bool, crowded: int = CROWDED) -> DataFrame:
     """pack and known: for each pack those of its anchors that occur twice (in two documents, if
     ``by_document``), with a mark on crowded ones. A pack sends each anchor once, with a count."""
 
@@ -147,7 +147,7 @@ def repeated_anchors(packs: DataFrame, anchors: Callable, buckets: int, by_docum
         for x in parts:
             part, t = x, total[at : at + len(x)]
             at += len(x)
-            out.append((part[t > 1].tobytes(), (t[t > 1] > CROWDED).tobytes()))
+            out.append((part[t > 1].tobytes(), (t[t > 1] > crowded).tobytes()))
         return pd.DataFrame({"pack": pdf["pack"], "names": [a for a, _ in out], "crowded": [b for _, b in out]})
 
     sent = packs.mapInArrow(send, "bucket int, pack long, names binary, counts binary")

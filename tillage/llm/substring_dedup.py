@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tillage.llm.fm_index import FMIndex, RangeMinimum
-from tillage.llm.packs import Contexts, Pack, buckets_for, cover, exchange, find_anchors, repeated_anchors, write_packs
+from tillage.llm.packs import CROWDED, Contexts, Pack, buckets_for, cover, exchange, find_anchors, repeated_anchors, write_packs
 from tillage.llm.words import gram_hashes, word_hashes
 
 _WIDTH = 6  # bytes of a word's hash that travel; a repeat has to agree in all words of a window
@@ -80,7 +80,7 @@ def _judge(window: int):
     return judge
 
 
-def substring_dedup(docs: DataFrame, window: int = 13, gram: int = 5, texts: bool = True) -> DataFrame:
+def substring_dedup(docs: DataFrame, window: int = 13, gram: int = 5, texts: bool = True, crowded: int = CROWDED) -> DataFrame:
     """Removes every word that a run of ``window`` words covers which also starts in a document with a
     smaller doc_id; runs are judged on the input. Words are ``[^\\x20\\x09-\\x0D]+``, unchanged.
 
@@ -119,7 +119,7 @@ def substring_dedup(docs: DataFrame, window: int = 13, gram: int = 5, texts: boo
         np.minimum.at(least, c.which, c.docs)
         return c, least
 
-    known = repeated_anchors(packs, anchors, buckets, by_document=True)
+    known = repeated_anchors(packs, anchors, buckets, by_document=True, crowded=crowded)
     flags = exchange(packs, known, contexts, _judge(window), "docs")
 
     def gone(c: Contexts, flags, hashes: np.ndarray) -> np.ndarray:

@@ -9,7 +9,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tillage.llm.packs import Contexts, Pack, buckets_for, cover, exchange, find_anchors, repeated_anchors, write_packs
+from tillage.llm.packs import CROWDED, Contexts, Pack, buckets_for, cover, exchange, find_anchors, repeated_anchors, write_packs
 from tillage.llm.words import mix, powers
 
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64))
@@ -138,7 +138,7 @@ def _judge(window: int):
     return judge
 
 
-def suffix_dedup(docs: DataFrame, length: int = 400, texts: bool = True) -> DataFrame:
+def suffix_dedup(docs: DataFrame, length: int = 400, texts: bool = True, crowded: int = CROWDED) -> DataFrame:
     """Removes every byte that a ``length``-byte string covers which also starts anywhere else, in
     the same document or another; overlaps count and strings are judged on the input.
 
@@ -170,7 +170,7 @@ def suffix_dedup(docs: DataFrame, length: int = 400, texts: bool = True) -> Data
         made = Contexts(pack.data, 1, all_, known, length, buckets, np.zeros(len(all_[0]), np.int64))
         return made, np.bincount(made.which, minlength=len(made.rows)).astype(np.int64)
 
-    known = repeated_anchors(packs, anchors, buckets, by_document=False)
+    known = repeated_anchors(packs, anchors, buckets, by_document=False, crowded=crowded)
     flags = exchange(packs, known, contexts, _judge(length), "counts")
 
     def finish(batches):
