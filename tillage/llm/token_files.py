@@ -16,17 +16,19 @@ from pyspark.sql import functions as F
 from tillage.llm.common import TwoAges, tasks
 from tillage.session import fresh_path, materialize
 
-_NEAR = re.compile(r"\s\s|[\W_][.,] |\x00")  # blanks that meet, points after no letter: not cut by replacement
-_PIECES = re.compile(r"\s*\S+|\s+")
+_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"  # Unicode's White_Space
+_OTHER_RUN = re.compile(f"[{_SPACE}][ \n]")
+_PIECES = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
+_ASCII_RUNS = ("  ", "\n\n", " \n", "\n ", "\x00", "\t", "\r", "\x0b", "\x0c")
 _CACHED_CHARS = 40
-_CACHED_CHUNKS = 500_000  # bounds the memory of a worker
+_CACHED_CHUNKS = 600_000  # bounds the memory of a worker
 
 
 class ChunkEncoder:
     """Ids of whole texts by a byte-level tokenizer, chunk by chunk.
 
-    The pre-tokenizer never joins a non-blank with a blank that follows it, nor a letter with a
-    point or comma, so a text may be cut there; equal chunks are encoded once while remembered.
+    The pre-tokenizer never joins a non-blank with a blank that follows it, so a text may be cut
+    before every run of blanks; equal chunks are encoded once while remembered.
     ``dtype`` is the file's id type.
     """
 
@@ -39,10 +41,10 @@ class ChunkEncoder:
 
     @staticmethod
     def chunks(text: str) -> list[str]:
-        if _NEAR.search(text):
+        # where no blank meets another one, a cut before each blank is a cut before each run
+        if any([run in text for run in _ASCII_RUNS]) or not text.isascii() and _OTHER_RUN.search(text):
             return _PIECES.findall(text)
-        text = text.replace(", ", "\x00,\x00 ").replace(". ", "\x00.\x00 ")
-        return text.replace(" ", "\x00 ").replace("\x00\x00", "\x00").replace("\n", "\x00\n").split("\x00")
+        return text.replace(" ", "\x00 ").replace("\n", "\x00\n").split("\x00")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         out = []
@@ -52,8 +54,12 @@ class ChunkEncoder:
             names = list(self.cache.missing({c for chunks in cut for c in chunks}))
             for at in range(0, len(names), 20_000):
                 part = names[at : at + 20_000]
-                for c, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                    self.cache[c] = np.asarray(e.ids, self.dtype).tobytes()
+                # as words of one sequence: each is pre-tokenized by itself
+                found = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
+                raw, size = np.asarray(found.ids, self.dtype).tobytes(), np.dtype(self.dtype).itemsize
+                ends = np.searchsorted(np.asarray(found.word_ids, np.int64), np.arange(len(part)), "right") * size
+                for c, a, b in zip(part, [0, *ends.tolist()], ends.tolist()):
+                    self.cache[c] = raw[a:b]
             out += [b"".join(map(self.cache.__getitem__, chunks)) for chunks in cut]
             for c in names:
                 if len(c) > _CACHED_CHARS:
