@@ -44,7 +44,7 @@ class WaveletMatrix:
 
 
 class FMIndex:
-    """Index of a sequence of small numbers for patterns of up to ``depth`` symbols.
+    """Index of a sequence of small numbers that ends with a 0, for patterns of up to ``depth`` symbols.
 
     Suffixes are sorted by their first ``depth`` symbols (by prefix doubling), which is all that
     a backward search of so many steps needs.

@@ -108,8 +108,9 @@ def find_anchors(units: np.ndarray, edges: np.ndarray, window: int, gram: int):
 
 
 def buckets_for(packs: DataFrame) -> int:
-    """Hash ranges of about 128 MB of text each, at least one per shuffle task."""
-    return max(tasks(packs.sparkSession), packs.count() * PACK_BYTES >> 27)
+    """Hash ranges for about 4 MB of text each, at least one per shuffle task: what a shard holds does
+    not grow with the corpus."""
+    return max(tasks(packs.sparkSession), packs.count() * PACK_BYTES >> 22)
 
 
 def repeated_anchors(packs: DataFrame, anchors: Callable, buckets: int, by_document: bool, crowded: int = CROWDED) -> DataFrame:

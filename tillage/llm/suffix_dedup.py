@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from tillage.llm.packs import CROWDED, Contexts, Pack, buckets_for, cover, exchange, find_anchors, repeated_anchors, write_packs
 from tillage.llm.words import mix, powers
 
+_AT_ONCE = 1_000_000  # suffixes that a task sorts at a time
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64))
 
 
@@ -107,19 +108,22 @@ def _judge(window: int):
                 which.append(got)
                 total[got] += count
         tops, total, which = np.array(tops, kind), np.array(total), np.array(which)
-        start = np.r_[0, np.cumsum(tops["windows"].astype(np.int64) + window - 1)]
         own = np.r_[0, np.cumsum(tops["windows"])]
         bits = np.repeat(total > 1, tops["windows"])
         # contexts that share their anchor with another distinct one
         _, group, many = np.unique(tops["name"], return_inverse=True, return_counts=True)
         mixed = np.flatnonzero(many[group] > 1)
-        if len(mixed):
-            n = tops["windows"][mixed].astype(np.int64)
-            again = np.repeat(mixed, n)
+        mixed = mixed[np.argsort(group[mixed], kind="stable")]
+        # in parts of about a million suffixes, cut between anchors
+        part = np.cumsum(tops["windows"][mixed]) // _AT_ONCE
+        part = part[np.searchsorted(group[mixed], group[mixed])]
+        for some in np.split(mixed, np.flatnonzero(np.diff(part)) + 1) if len(mixed) else []:
+            n = tops["windows"][some].astype(np.int64)
+            again = np.repeat(np.arange(len(some)), n)
             step = np.arange(len(again)) - np.repeat(np.cumsum(n) - n, n)
-            text = HashedText(np.frombuffer(b"".join(texts), np.uint8))
-            places = start[again] + step
-            groups = group[again].astype(np.int64) * 1_000_003 + (tops["offset"][again] - step)
+            text = HashedText(np.frombuffer(b"".join([texts[i] for i in some]), np.uint8))
+            places = (np.cumsum(n + window - 1) - (n + window - 1))[again] + step
+            groups = group[some][again].astype(np.int64) * 1_000_003 + (tops["offset"][some][again] - step)
             order = sort_suffixes(text, places, groups, window)
             a, b = order[:-1], order[1:]
             near = groups[a] == groups[b]
@@ -128,7 +132,7 @@ def _judge(window: int):
             a, b = a[alike], b[alike]
             sure = text.equal(places[a], places[b], window)
             for x in (a[sure], b[sure]):
-                bits[own[again[x]] + step[x]] = True
+                bits[own[some[again[x]]] + step[x]] = True
         out, at = [], 0
         for n in sizes:
             out.append(np.packbits(np.concatenate([bits[own[c] : own[c + 1]] for c in which[at : at + n]])).tobytes())
