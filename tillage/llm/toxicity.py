@@ -144,7 +144,7 @@ class ToxicityModel:
                 worst[w] = max(m, worst.get(w, -np.inf))
             self.memo.update(worst)
             tops = [max(map(self.memo.__getitem__, words), default=-np.inf) for words in cut]
-            out += [float(1 / (1 + np.exp(-np.clip(self.slope * m + _BORDER, -30, 30)))) for m in tops]
+            out += [0.0 if m == -np.inf else float(1 / (1 + np.exp(-np.clip(self.slope * m + _BORDER, -30, 30)))) for m in tops]
         return out
 
 
