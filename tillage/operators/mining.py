@@ -2,12 +2,7 @@
 
 from __future__ import annotations
 
-import sys
-from itertools import combinations
-
-import numpy as np
-import pandas as pd
-from pyspark import cloudpickle
+from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,9 +11,6 @@ from tillage.operators.orderstats import LINEAR, order_statistics
 from tillage.operators.profile import YIELD, existing, long_form
 from tillage.session import materialize
 
-# the counting helper travels to the executors with the job
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 # Bins (column, edges, labels); every interval is closed on the right.
 FIXED_BINS = {
     "temp_category": ("temperature_C", [20, 30], ["Cool", "Moderate_Temp", "Hot"]),
@@ -67,83 +59,18 @@ def transactions(df: DataFrame) -> DataFrame:
     return df.select(ag.transaction_items(existing(df, ITEM_COLUMNS)).alias("items"))
 
 
-def _candidates(frequent: set[tuple[int, ...]], size: int) -> list[tuple[int, ...]]:
-    """Sets of ``size`` items whose subsets of one item less are all frequent."""
-    by_prefix: dict[tuple, list[int]] = {}
-    for s in sorted(frequent):
-        by_prefix.setdefault(s[:-1], []).append(s[-1])
-    out = []
-    for prefix, last in by_prefix.items():
-        for a, b in combinations(last, 2):
-            grown = (*prefix, a, b)
-            if all(grown[:k] + grown[k + 1 :] in frequent for k in range(size - 2)):
-                out.append(grown)
-    return out
-
-
-def _count_in(candidates: list[tuple[int, ...]], items: int):
-    """A task that counts the candidates in its rows: one sum per candidate and task."""
-    by_prefix: dict[tuple, list[int]] = {}
-    for place, c in enumerate(candidates):
-        by_prefix.setdefault(c[:-1], []).append(place)
-    last = np.array([c[-1] for c in candidates])
-
-    def count(batches):
-        sums = np.zeros(len(candidates), dtype=np.int64)
-        for b in batches:
-            codes = b["codes"].to_numpy()
-            lengths = np.fromiter((len(c) for c in codes), dtype=np.int64, count=len(codes))
-            held = np.zeros((items, len(codes)), dtype=bool)
-            held[np.concatenate(codes).astype(np.int64), np.repeat(np.arange(len(codes)), lengths)] = True
-            weight = b["weight"].to_numpy(np.int64)
-            for prefix, places in by_prefix.items():
-                rows = np.flatnonzero(held[list(prefix)].all(axis=0))
-                if len(rows):
-                    w = weight[rows]
-                    for place in places:
-                        sums[place] += w[held[last[place], rows]].sum()
-        found = np.flatnonzero(sums)
-        yield pd.DataFrame({"place": found, "n": sums[found]})
-
-    return count
-
-
 def frequent_itemsets(baskets: DataFrame, min_support: float = MIN_SUPPORT) -> DataFrame:
     """Itemsets with their frequency and support; the items of a set are sorted.
 
-    Level by level, as sets can only be frequent when their subsets are. Equal baskets
-    collapse to one row first; every level is then one pass that adds up one number per
-    candidate and task, so nothing but those sums is shuffled. The driver holds the frequent
-    sets, which are the result.
+    Parallel FP-growth: the conditional trees of the frequent items are mined task by task. The
+    sets are written once, since rules join them with themselves, and never come to the driver.
     """
-    spark = baskets.sparkSession
     total = baskets.count()
-    least = min_support * total
-    single = (
-        baskets.select(F.explode(F.array_distinct("items")).alias("item")).groupBy("item").agg(F.count("*").alias("n"))
-    ).where(F.col("n") >= least)
-    # a basket has few items, so at most (items per basket) / min_support items are frequent
-    ones = {r["item"]: r["n"] for r in single.collect()}
-    names = sorted(ones)
-    level = {(k,): ones[name] for k, name in enumerate(names)}
-    found = dict(level)
-    if names:
-        codes = ag.literal_map({name: k for k, name in enumerate(names)})
-        coded = F.array_sort(F.array_distinct(F.filter(F.transform("items", lambda x: codes[x]), lambda c: c.isNotNull())))
-        coded = baskets.select(coded.alias("codes")).where(F.size("codes") > 1)
-        coded = materialize(coded.groupBy("codes").agg(F.count("*").alias("weight")), "coded-baskets", spread=True)
-    size = 2
-    while len(level) >= size:
-        candidates = _candidates(set(level), size)
-        if not candidates:
-            break
-        sums = coded.mapInPandas(_count_in(candidates, len(names)), "place bigint, n bigint").groupBy("place")
-        kept = sums.agg(F.sum("n").alias("n")).where(F.col("n") >= least).collect()
-        level = {candidates[r["place"]]: r["n"] for r in kept}
-        found.update(level)
-        size += 1
-    rows = [([names[k] for k in s], n, n / total) for s, n in found.items()]
-    return spark.createDataFrame(rows, "items array<string>, freq bigint, support double")
+    if not total:
+        return baskets.sparkSession.createDataFrame([], "items array<string>, freq bigint, support double")
+    sets = FPGrowth(itemsCol="items", minSupport=min_support).fit(baskets.select(F.array_distinct("items").alias("items"))).freqItemsets
+    found = sets.select(F.array_sort("items").alias("items"), "freq", (F.col("freq") / F.lit(total)).alias("support"))
+    return materialize(found, "itemsets")
 
 
 def association_rules(itemsets: DataFrame, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:

@@ -31,7 +31,7 @@ _CUTS = ", ".join(
 BINNED_SQL = f"""binned AS MATERIALIZED (SELECT crop_type, region, irrigation_type, fertilizer_type, sowing_season, {_BINNED}
   FROM farm, (SELECT {_CUTS} FROM farm))"""
 _C = mining.ITEM_COLUMNS
-_LEVELS = 8
+_LEVELS = len(_C) + 1  # a basket has one item per column at most
 
 
 def _levelwise() -> str:

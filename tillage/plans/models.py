@@ -341,19 +341,10 @@ def _selected(spark, d):
     return clustering.k_selection(_ready(spark, d))
 
 
-_CLUSTERED: dict[str, tuple] = {}
-
-
 def clustered(spark, d):
-    """The clustered rows, written once and read by every cluster query of the process."""
-    if d not in _CLUSTERED:
-        ready = _ready(spark, d)
-        rows = clustering.assigned(ready, clustering.best_k(clustering.k_selection(ready)))
-        path = fresh_path(spark, "clustered")
-        rows.write.parquet(path)
-        _CLUSTERED[d] = (path, rows.schema)
-    path, schema = _CLUSTERED[d]
-    return spark.read.schema(schema).parquet(path)
+    """The clustered rows of the best k, written once for the tables made of them."""
+    ready = _ready(spark, d)
+    return materialize(clustering.assigned(ready, clustering.best_k(clustering.k_selection(ready))), "clustered")
 
 
 @query("k02_k_selection")

@@ -134,9 +134,7 @@ def _(spark, d):
     return out
 
 
-@query("t09_price_lookup", farm_sql(
-    """SELECT crop_type, price AS "price_per_kg_EUR", count(*) AS n FROM farm JOIN price USING (crop_type)
-    GROUP BY crop_type, price""",
+PRICE_SQL = (
     COMMODITY_SQL,
     "avgs AS (SELECT " + ", ".join(
         f"""round(avg("{c}" / 100 * 0.92::DOUBLE / {ag.KG_PER_UNIT[c]}::DOUBLE), 6) AS "{c}" """ for c in COMMODITIES)
@@ -144,7 +142,13 @@ def _(spark, d):
     """price AS (SELECT p_type AS crop_type, CASE p_type WHEN 'ECONOMY' THEN (SELECT "CORN" FROM avgs)
       WHEN 'SMALL' THEN (SELECT "WHEAT" FROM avgs) WHEN 'MEDIUM' THEN (SELECT "SOYBEANS" FROM avgs)
       WHEN 'LARGE' THEN (SELECT "COTTON" FROM avgs) WHEN 'STANDARD' THEN 1.45::DOUBLE ELSE 0.45::DOUBLE END AS price
-      FROM part GROUP BY p_type)"""))
+      FROM part GROUP BY p_type)""",
+)
+
+
+@query("t09_price_lookup", farm_sql(
+    """SELECT crop_type, price AS "price_per_kg_EUR", count(*) AS n FROM farm JOIN price USING (crop_type)
+    GROUP BY crop_type, price""", *PRICE_SQL))
 def _(spark, d):
     from tillage.plans.warehouse import priced_farm
 
@@ -153,13 +157,29 @@ def _(spark, d):
 
 
 @query("t10_revenue", farm_sql(
-    f"""SELECT farm_id, round({Y} * CASE crop_type WHEN 'STANDARD' THEN 1.45::DOUBLE ELSE 0.45::DOUBLE END, 4)
-    AS "revenue_per_hectare_EUR" FROM farm WHERE crop_type IN ('STANDARD', 'PROMO')"""))
+    f"""SELECT farm_id, round({Y} * price, 8) AS "revenue_per_hectare_EUR" FROM farm LEFT JOIN price USING (crop_type)""", *PRICE_SQL))
 def _(spark, d):
     from tillage.plans.warehouse import priced_farm
 
-    df = priced_farm(spark, d, "farm_id", "crop_type", Y).where(F.col("crop_type").isin("STANDARD", "PROMO"))
-    return pr.rounded(df.select("farm_id", "revenue_per_hectare_EUR"))
+    df = priced_farm(spark, d, "farm_id", "crop_type", Y, price_digits=6)
+    return pr.rounded(df.select("farm_id", "revenue_per_hectare_EUR"), 8)
+
+
+# fixed values: the record's names in the warehouse
+WAREHOUSE_NAMES = {c: c for c in FARM_COLUMNS} | {"region": "region_name", "crop_disease_status": "disease_status"}
+MEASURED = ("soil_pH", "temperature_C", "NDVI_index", "sunlight_hours")
+
+
+def whole_sql(names=None):
+    """All columns of the record; computed measures to 6 decimals, whole numbers as bigint."""
+    names = names if isinstance(names, dict) else {c: c for c in names or FARM_COLUMNS}
+    kind = lambda c: f'round("{c}", 6)' if c in MEASURED else (f'CAST("{c}" AS BIGINT)' if c.endswith(("month", "days")) else f'"{c}"')
+    return ", ".join(f'{kind(c)} AS "{n}"' for c, n in names.items())
+
+
+def whole_frame(df):
+    kind = lambda c: F.round(c, 6) if c in MEASURED else (F.col(c).cast("bigint") if c.endswith(("month", "days")) else F.col(c))
+    return df.select(*[kind(c).alias(c) for c in df.columns])
 
 
 # ---- derived measures ----------------------------------------------------------------------------------
@@ -501,10 +521,9 @@ def _(spark, d):
 
 
 @query("p09_rename", farm_sql(
-    f"""SELECT farm_id, region AS region_name, crop_disease_status AS disease_status, humidity_pct, {Y} FROM farm"""))
+    f"""SELECT {whole_sql(WAREHOUSE_NAMES)} FROM farm"""))
 def _(spark, d):
-    names = {"farm_id": "farm_id", "region": "region_name", "crop_disease_status": "disease_status", "humidity_pct": "humidity_pct", Y: Y}
-    return filters.renamed(farm(spark, d, *names), names)
+    return filters.renamed(whole_frame(farm(spark, d)), WAREHOUSE_NAMES)
 
 
 @query("p10_valid_pairs", farm_sql(
@@ -537,8 +556,8 @@ def _(spark, d):
 
 
 @query("p13_whole_table", farm_sql(
-    f"""SELECT farm_id, crop_type, {Y}, total_records, round(average_yield, 4) AS average_yield FROM farm,
+    f"""SELECT {whole_sql()}, total_records, round(average_yield, 4) AS average_yield FROM farm,
     (SELECT count(*) AS total_records, avg({Y}) AS average_yield FROM farm)"""))
 def _(spark, d):
-    df = farm(spark, d, "farm_id", "crop_type", Y)
-    return pr.rounded(df.crossJoin(F.broadcast(filters.count_and_mean(df))), 4, Y)
+    df = farm(spark, d)
+    return whole_frame(df.crossJoin(F.broadcast(filters.count_and_mean(df)))).withColumn("average_yield", F.round("average_yield", 4))

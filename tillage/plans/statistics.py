@@ -10,11 +10,10 @@ from tillage.operators import quality, stats
 from tillage.operators.orderstats import UPPER, order_statistics
 from tillage.plans.profiles import CATEGORIES, stacked_sql
 from tillage.plans.registry import Y, query
-from tillage.plans.rows import GAP_SQL, with_gaps
-from tillage.sources.binding import farm, farm_sql
+from tillage.sources.binding import FARM_COLUMNS, farm, farm_sql
 
 CORR = ["soil_moisture_pct", "soil_pH", "temperature_C", "rainfall_mm", "humidity_pct", "pesticide_usage_ml",
-        "total_days", Y, "NDVI_index", "latitude"]
+        "total_days", Y, "NDVI_index", "latitude", "longitude", "sunlight_hours", "sowing_month", "harvest_month"]
 _PAIRS = [(i, j) for i in range(len(CORR)) for j in range(len(CORR))]
 
 
@@ -244,10 +243,9 @@ def _(spark, d):
 
 
 @query("w08_full_duplicates", farm_sql(
-    """SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicates FROM (SELECT count(*) AS n FROM gaps
-    GROUP BY farm_id, "temperature_C", rainfall_mm, irrigation_type)""", GAP_SQL))
+    f"""SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicates FROM (SELECT count(*) AS n FROM farm GROUP BY {', '.join(f'"{c}"' for c in FARM_COLUMNS)})"""))
 def _(spark, d):
-    return quality.full_duplicates(with_gaps(spark, d).drop("fertilizer_type"))
+    return quality.full_duplicates(farm(spark, d))
 
 
 @query("w09_upper_median", farm_sql(
@@ -267,9 +265,9 @@ def _(spark, d):
     return filters.seeded_sample(farm(spark, d, *_SAMPLE_KEY), 5000, _SAMPLE_KEY).select("farm_id", "sensor_id")
 
 
-@query("w11_sorted_line", farm_sql(f"""SELECT rainfall_mm AS x, {Y} AS y FROM farm WHERE region = 'NATION_5'"""))
+@query("w11_sorted_line", farm_sql(f"""SELECT rainfall_mm AS x, {Y} AS y FROM farm"""))
 def _(spark, d):
-    df = farm(spark, d, "rainfall_mm", "region", Y).where(F.col("region") == "NATION_5")
+    df = farm(spark, d, "rainfall_mm", Y)
     return filters.valid_pairs(df, "rainfall_mm", Y).select(F.col("rainfall_mm").alias("x"), F.col(Y).alias("y")).orderBy("x", "y")
 
 

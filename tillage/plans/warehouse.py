@@ -10,13 +10,14 @@ from tillage.operators import profile as pr
 from tillage.operators import warehouse as wh
 from tillage.plans.profiles import AVERAGE_SQL, CATEGORIES, SUMMARY, _UPPER_SQL, stacked_sql
 from tillage.plans.registry import Y, query
-from tillage.plans.rows import GAP_SQL, as_plain, by_day, with_gaps
+from tillage.plans.rows import GAP_SQL, as_plain, by_day, whole_frame, whole_sql, with_gaps
 from tillage.session import fresh_path, materialize
 from tillage.sources import files
 from tillage.sources.binding import (
     COMMODITIES,
     COMMODITY_SQL,
     CROP_MAPPING,
+    DERIVED_COLUMNS,
     FARM_COLUMNS,
     STATIC,
     commodity_prices,
@@ -525,15 +526,18 @@ def _(spark, d):
 
 
 @query("s09_enriched_csv", farm_sql(
-    f"SELECT count(*) AS n, round(sum({Y}), 2) AS total_yield, round(avg(growing_conditions_score), 4) AS score, count(DISTINCT country) AS countries FROM farm"))
+    f"SELECT count(*) AS n, round(sum({Y}), 2) AS total_yield, round(avg(growing_conditions_score), 4) AS score, count(DISTINCT country) AS countries, "
+    + " + ".join(f'count("{c}")' for c in [*FARM_COLUMNS, *DERIVED_COLUMNS, "country"]) + " AS cells FROM farm"))
 def _(spark, d):
-    df = priced_farm(spark, d, "farm_id", "crop_type", "region", "country", "growing_conditions_score", "sowing_season", Y)
+    record = [*FARM_COLUMNS, *DERIVED_COLUMNS, "country"]
+    df = priced_farm(spark, d, *record)
     path = files.write_csv(df, fresh_path(spark, "enriched"))
     back = spark.read.schema(df.schema).option("header", True).csv(path)
     return pr.rounded(
         back.agg(
             F.count("*").alias("n"), F.round(F.sum(Y), 2).alias("total_yield"),
             F.avg("growing_conditions_score").alias("score"), F.countDistinct("country").alias("countries"),
+            sum((F.count(c) for c in record), F.lit(0)).alias("cells"),
         )
     )
 
@@ -547,10 +551,10 @@ def _(spark, d):
     return spark.read.schema(df.schema).parquet(path).agg(F.count("*").alias("n"), F.round(F.sum(Y), 2).alias("total_yield"))
 
 
-@query("s12_filtered_export", farm_sql(f"SELECT farm_id, region, crop_type, {Y} FROM farm WHERE region = 'NATION_4'"))
+@query("s12_filtered_export", farm_sql(f"SELECT {whole_sql()} FROM farm WHERE region = 'NATION_4'"))
 def _(spark, d):
-    df = filters.by_equality(farm(spark, d, "farm_id", "region", "crop_type", Y), region="NATION_4", crop_type="")
-    return spark.read.schema(df.schema).option("header", True).csv(files.write_csv(df, fresh_path(spark, "export")))
+    df = filters.by_equality(farm(spark, d), region="NATION_4", crop_type="")
+    return whole_frame(spark.read.schema(df.schema).option("header", True).csv(files.write_csv(df, fresh_path(spark, "export"))))
 
 
 def _explorer_sql(header, where):
@@ -565,9 +569,9 @@ for _key, _short, _header in (
     ("s13_explorer_export_short", True, files.EXPLORER_HEADER_SHORT),
 ):
 
-    @query(_key, _explorer_sql(_header, "crop_type = 'MEDIUM'"))
+    @query(_key, _explorer_sql(_header, "true"))
     def _(spark, d, short=_short, header=_header):
-        df = farm(spark, d, *header).where(F.col("crop_type") == "MEDIUM")
+        df = farm(spark, d, *header)
         out = files.explorer_export(df, short)
         path = files.write_csv(out, fresh_path(spark, "explorer"), quote_all=not short)
         return pr.rounded(spark.read.schema(out.schema).option("header", True).csv(path), 6)
@@ -598,8 +602,8 @@ def _(spark, d):
 
 
 @query("s20_processed_copy", farm_sql(
-    "SELECT farm_id, yield_per_day, water_efficiency, 'daily' AS processed_by, true AS stamped FROM farm"))
+    f"SELECT {whole_sql([*FARM_COLUMNS, 'yield_per_day', 'water_efficiency'])}, 'daily' AS processed_by, true AS stamped FROM farm"))
 def _(spark, d):
-    out = files.with_lineage(farm(spark, d, "farm_id", "total_days", "rainfall_mm", Y), "daily")
-    back = materialize(out, "processed")
-    return back.select("farm_id", "yield_per_day", "water_efficiency", "processed_by", F.col("processed_at").isNotNull().alias("stamped"))
+    back = materialize(files.with_lineage(farm(spark, d), "daily"), "processed")
+    record = whole_frame(back.select(*FARM_COLUMNS, "yield_per_day", "water_efficiency", "processed_by", "processed_at"))
+    return record.withColumn("stamped", F.col("processed_at").isNotNull()).drop("processed_at")
