@@ -8,7 +8,7 @@ from pyspark.sql.window import Window as W
 
 from tillage.functions import agronomy as ag
 from tillage.operators.profile import YIELD
-from tillage.session import materialize
+from tillage.session import materialize, task_count
 
 
 # ---- surrogate keys ----------------------------------------------------------------------------------
@@ -283,6 +283,17 @@ def orphan_count(fact: DataFrame, key: str, dim: DataFrame, id_column: str) -> D
     return lost.agg(F.lit(key).alias("key"), F.coalesce(F.sum("c"), F.lit(0)).cast("bigint").alias("orphans"))
 
 
-def record_key(*columns: str) -> Column:
-    """A stable 64-bit id of a fact row, equal on every run and partitioning."""
-    return F.xxhash64(*columns)
+def numbered(df: DataFrame, id_column: str, *order: str) -> DataFrame:
+    """``df`` with ids 1, 2, ... in the order of the given columns: unique for equal rows too.
+
+    Rows are sorted by ranges and written once; each range then starts after the rows of the ranges
+    before it. The running sum is over the ranges, never over the rows.
+    """
+    at = F.col("__at")
+    stored = materialize(
+        df.repartitionByRange(task_count(df.sparkSession), *order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id()), "numbered")
+    held = stored.groupBy(F.shiftright(at, 33).alias("__range")).agg(F.count("*").alias("__n"))
+    before = held.select("__range", (F.sum("__n").over(W.orderBy("__range")) - F.col("__n")).alias("__before"))
+    # one row per range, so the broadcast is bounded by the number of tasks
+    joined = stored.withColumn("__range", F.shiftright(at, 33)).join(F.broadcast(before), "__range")
+    return joined.select((F.col("__before") + at.bitwiseAND(F.lit(2**33 - 1)) + 1).alias(id_column), *df.columns)

@@ -10,7 +10,7 @@ from tillage.operators import profile as pr
 from tillage.operators import warehouse as wh
 from tillage.plans.profiles import AVERAGE_SQL, CATEGORIES, SUMMARY, _UPPER_SQL, stacked_sql
 from tillage.plans.registry import Y, query
-from tillage.plans.rows import GAP_SQL, as_plain, by_day, whole_frame, whole_sql, with_gaps
+from tillage.plans.rows import GAP_SQL, PRICE_SQL, as_plain, by_day, whole_frame, whole_sql, with_gaps
 from tillage.session import fresh_path, materialize
 from tillage.sources import files
 from tillage.sources.binding import (
@@ -107,13 +107,12 @@ def _(spark, d):
 
 
 @query("e04_dimensions", star_sql(
-    """SELECT 'region' AS dimension, region_id AS id, region_name AS label, country AS extra FROM dim_region
-    UNION ALL SELECT 'irrigation', irrigation_id, irrigation_type, NULL FROM dim_irrigation
-    UNION ALL SELECT 'disease', disease_id, disease_status, NULL FROM dim_disease
-    UNION ALL SELECT 'crop', crop_id, crop_type, NULL FROM dim_crop"""))
+    """SELECT 'region' AS dimension, region_id AS id, region_name AS label, country AS extra, NULL::DOUBLE AS price FROM dim_region
+    UNION ALL SELECT 'irrigation', irrigation_id, irrigation_type, NULL, NULL FROM dim_irrigation
+    UNION ALL SELECT 'disease', disease_id, disease_status, NULL, NULL FROM dim_disease
+    UNION ALL SELECT 'crop', crop_id, crop_type, NULL, price FROM dim_crop LEFT JOIN price USING (crop_type)""", *PRICE_SQL[1:]))
 def _(spark, d):
-    df = farm(spark, d, "region", "country", "irrigation_type", "crop_disease_status", "crop_type")
-    df = df.withColumn("price_per_kg_EUR", F.lit(0.0))
+    df = priced_farm(spark, d, "region", "country", "irrigation_type", "crop_disease_status", "crop_type", price_digits=6)
     out = None
     for name, dim, label, extra in (
         ("region", wh.dim_region(df), "region_name", F.col("country")),
@@ -126,6 +125,7 @@ def _(spark, d):
             F.col(f"{name}_id").cast("bigint").alias("id"),
             F.col(label).alias("label"),
             (extra if extra is not None else F.lit(None).cast("string")).alias("extra"),
+            (F.round("price_per_kg_EUR", 6) if name == "crop" else F.lit(None).cast("double")).alias("price"),
         )
         out = one if out is None else out.unionByName(one)
     return out
@@ -140,6 +140,12 @@ def _(spark, d):
 
 
 
+@query("e05_production_ids", farm_sql("SELECT count(*) AS n, count(*) AS ids, 1::BIGINT AS first_id, count(*) AS last_id FROM farm"))
+def _(spark, d):
+    keyed = wh.numbered(farm(spark, d, "farm_id", "sensor_id", Y), "production_id", "farm_id", "sensor_id")
+    return keyed.agg(F.count("*").alias("n"), F.count_distinct("production_id").alias("ids"), F.min("production_id").alias("first_id"), F.max("production_id").alias("last_id"))
+
+
 @query("e06_price_fact", star_sql(
     """SELECT time_id, strftime(full_date, '%Y-%m-%d') AS price_date, round(cotton / 100 * 0.92::DOUBLE / 0.453::DOUBLE, 6) AS cotton_eur_per_kg,
     round(0.45::DOUBLE * (1 + 0.1::DOUBLE * sin(2 * pi() * dayofyear(full_date) / 365)), 6) AS rice_eur_per_kg

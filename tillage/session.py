@@ -32,7 +32,8 @@ def shared_folder(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master == "local" or master.startswith("local["):
         return os.path.join(tempfile.gettempdir(), "tillage-shared")
     raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
 
