@@ -336,9 +336,7 @@ _NEEDS = {
 }
 for _key, _sql in CHECK_SQL.items():
     query(_key, farm_sql(_sql))(
-        lambda spark, d, key=_key: quality.validate(farm(spark, d, *_NEEDS[key]), "farms").where(
-            F.col("check").startswith(_PREFIX[key])
-        )
+        lambda spark, d, key=_key: quality.validate(farm(spark, d, *_NEEDS[key]), "farms", only=_PREFIX[key])
     )
 
 _ALL_CHECKS = " UNION ALL ".join(f"({s})" for s in CHECK_SQL.values())

@@ -14,8 +14,6 @@ from tillage.functions import agronomy as ag
 
 LINE, ORDER, CUSTOMER, NATION, REGION, PART = range(6)
 
-_DISEASE = {"F": "No Disease", "O": "Mild", "P": "Severe"}
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
