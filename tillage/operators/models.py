@@ -245,11 +245,13 @@ def class_votes(found: DataFrame, key: str) -> DataFrame:
     exact = F.sum(F.when(F.col("distance") == 0, F.col("taken"))).alias("exact")
     inverse = F.sum(F.when(F.col("distance") > 0, F.col("taken") / F.col("distance"))).alias("inverse")
     votes = found.groupBy(key, "label").agg(exact, inverse)
-    whole = votes.groupBy(key).agg(F.sum("exact").alias("all_exact"), F.sum("inverse").alias("all_inverse"))
+    # a row has at most k classes; the window keeps the search behind the votes a single one
+    whole = W.partitionBy(key)
+    votes = votes.withColumns({"all_exact": F.sum("exact").over(whole), "all_inverse": F.sum("inverse").over(whole)})
     share = F.when(F.col("all_exact").isNotNull(), F.coalesce("exact", F.lit(0)) / F.col("all_exact")).otherwise(
         F.col("inverse") / F.col("all_inverse")
     )
-    return votes.join(whole, key).select(key, "label", share.alias("probability"))
+    return votes.select(key, "label", share.alias("probability"))
 
 
 def knn_probabilities(train_set, test_set, features, key, label, k: int = 5) -> DataFrame:
