@@ -221,7 +221,7 @@ def _fit(marks: list[str], positive: list[str], negative: list[str]) -> Toxicity
     return ToxicityModel(kernel, project @ w, b, 2.0)
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 4000, max_chars: int = 20_000) -> ToxicityModel | None:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 2000, max_chars: int = 20_000) -> ToxicityModel | None:
     """Trains on at most ``per_class`` toxic and as many clean rows of ``labels`` joined with
     ``docs``: those of the smallest hash of their doc_id, of texts up to ``max_chars``
     characters. These bounds hold for training alone; scoring reads whole texts."""
