@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from tillage.session import materialize
 
 
+def _print(edges: DataFrame) -> tuple:
+    """Number and two sums of hashes of the links: equal for equal tables."""
+    h = [F.try_sum(F.shiftright(F.xxhash64(F.lit(i), "u", "v"), 20)) for i in (1, 2)]
+    return tuple(edges.agg(F.count("*"), *h).first())
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, label) of every node in ``links`` (a, b): the label is the smallest node reachable.
 
@@ -16,7 +22,8 @@ def components(links: DataFrame) -> DataFrame:
     the longest path. A hub costs one partial minimum per task and a skew-split join.
     """
     edges = materialize(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
-    while True:
+    state = _print(edges)
+    while state[0]:
         # each node's neighbourhood minimum, over both directions
         both = edges.select("u", "v").unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -24,11 +31,11 @@ def components(links: DataFrame) -> DataFrame:
         large = materialize(large.distinct(), "links")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(low, "u")
-        small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionAll(low.select("u", F.col("m").alias("v"))).distinct()
-        after = materialize(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
-        if after.join(edges, ["u", "v"], "left_anti").isEmpty() and edges.join(after, ["u", "v"], "left_anti").isEmpty():
+        small = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").unionAll(low.select("u", F.col("m").alias("v")))
+        edges = materialize(small.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
+        before, state = state, _print(edges)
+        if before == state:
             break
-        edges = after
     stars = edges.groupBy("u").agg(F.min("v").alias("label"))
     roots = edges.select("v").distinct().join(stars.select(F.col("u").alias("v")), "v", "left_anti")
     return stars.select(F.col("u").alias("node"), "label").unionAll(roots.select(F.col("v").alias("node"), F.col("v").alias("label")))

@@ -98,8 +98,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, shingle: int = 5, coordi
     used = signed.where("doc_id IS NOT NULL AND n > 0")
     classes = materialize(
         used.groupBy("cls").agg(F.min(F.struct("doc_id", "hash")).alias("who"), F.first("n").alias("n"), F.first("items").alias("items")), "classes")
-    links, sets = _links(docs, classes, t, coordinates, shingle, percent)
-    labels = components(links)
+    labels = _labels(docs, classes, t, coordinates, shingle, percent)
     doc_of = classes.select("cls", F.col("who.doc_id").alias("low")).join(labels.withColumnRenamed("node", "cls"), "cls")
     lowest = doc_of.join(doc_of.groupBy("label").agg(F.min("low").alias("component_id")), "label").select("cls", "component_id")
     alone = classes.select("cls", F.col("who.doc_id").alias("own"))
@@ -110,7 +109,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80, shingle: int = 5, coordi
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def _links(docs: DataFrame, classes: DataFrame, t: int, coordinates: int, shingle: int, percent: int):
+def _labels(docs: DataFrame, classes: DataFrame, t: int, coordinates: int, shingle: int, percent: int) -> DataFrame:
+    """(node, label) of the classes that are linked with others."""
     items = classes.select("cls", F.explode("items").alias("item"))
     sizes = items.groupBy("item").agg(F.count("*").alias("size")).where("size > 1")
     shared = items.join(sizes, "item").groupBy("cls").agg(F.sort_array(F.collect_list(F.struct("size", "item"))).alias("shared"))
@@ -147,11 +147,31 @@ def _links(docs: DataFrame, classes: DataFrame, t: int, coordinates: int, shingl
     labels = components(first)
     told = materialize(
         posts.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("item", "cls", "n", F.coalesce("label", "cls").alias("label")), "labelled")
-    held = told.groupBy("item", "label").agg(F.count("*").alias("size"))
-    mixed = held.groupBy("item").agg(F.max(F.struct("size", "label")).alias("top"), F.count("*").alias("parts")).where("parts > 1").select("item", F.col("top.label").alias("top"))
-    open_ = told.join(mixed, "item")
-    few = open_.where("label <> top").select("item", F.col("cls").alias("a"), "n", F.col("label").alias("la"))
-    rest = open_.select("item", F.col("cls").alias("b"), F.col("n").alias("m"), F.col("label").alias("lb"), (F.col("label") == F.col("top")).alias("big"))
-    across = few.join(rest, "item").where((F.col("la") != F.col("lb")) & fits & (F.col("big") | (F.col("a") < F.col("b"))))
+    # lists that still hold several components: their members get exact prefixes of shingles, the
+    # rarest first, of which a pair that reaches the similarity shares one. So those that only
+    # have a passage in common, which is not rare, do not meet
+    mixed = told.groupBy("item", "label").agg(F.lit(1).alias("one")).groupBy("item").agg(F.count("*").alias("parts")).where("parts > 1")
+    open_ = told.join(mixed, "item").select("cls", "n", "label").distinct()
+
+    def unpacked(batches):
+        for batch in batches:
+            cells = [np.frombuffer(x, np.int64) for x in batch.column("grams").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("cls", "n", "label")), pa.array(cells, pa.list_(pa.int64()))], names=["cls", "n", "label", "grams"])
+
+    grams_of = materialize(open_.join(sets, "cls").select("cls", "n", "label", "grams").mapInArrow(unpacked, "cls binary, n long, label binary, grams array<long>"), "open-classes")
+    tokens = grams_of.select("cls", F.explode("grams").alias("token"))
+    rare = tokens.groupBy("token").agg(F.count("*").alias("size")).where("size > 1")
+    known = tokens.join(rare, "token").groupBy("cls").agg(F.sort_array(F.collect_list(F.struct("size", "token"))).alias("known"))
+    # shingles that one class alone has come first and meet nothing
+    room = F.col("n") - F.expr(f"({percent} * n + 99) div 100") + 1 - (F.col("n") - F.size("known"))
+    prefixes = known.join(grams_of.drop("grams"), "cls").where(room > 0).select(
+        "cls", "n", "label", F.explode(F.slice("known", F.lit(1), room.cast("int")).getField("token")).alias("token"))
+    posted = materialize(prefixes, "prefixes")
+    held = posted.groupBy("token", "label").agg(F.count("*").alias("size"))
+    parts = held.groupBy("token").agg(F.max(F.struct("size", "label")).alias("top"), F.count("*").alias("parts")).where("parts > 1").select("token", F.col("top.label").alias("top"))
+    several = posted.join(parts, "token")
+    few = several.where("label <> top").select("token", F.col("cls").alias("a"), "n", F.col("label").alias("la"))
+    rest = several.select("token", F.col("cls").alias("b"), F.col("n").alias("m"), F.col("label").alias("lb"), (F.col("label") == F.col("top")).alias("big"))
+    across = few.join(rest, "token").where((F.col("la") != F.col("lb")) & fits & (F.col("big") | (F.col("a") < F.col("b"))))
     second = materialize(_verified(colliding(across.select("a", "b")), sets, percent), "links")
-    return first.unionAll(second), sets
+    return labels if second.isEmpty() else components(first.unionAll(second))
