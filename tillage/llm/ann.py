@@ -29,10 +29,11 @@ def fit_planes(points: np.ndarray, trees: int, seed: int = 1) -> tuple[np.ndarra
     ends = rng.integers(0, len(points), (2, trees * BITS))
     planes = (points[ends[0]] - points[ends[1]]).T
     planes += 1e-3 * rng.standard_normal(planes.shape) * np.abs(points).max()  # two equal ends still part something
-    return planes, np.median(points @ planes, axis=0)
+    cuts = [np.median(points @ planes[:, t * BITS : (t + 1) * BITS], axis=0) for t in range(trees)]
+    return planes, np.concatenate(cuts)
 
 
-def nearest(vectors: DataFrame, k: int = 10, trees: int = 80, width: int | None = None, sample: int = 10_000,
+def nearest(vectors: DataFrame, k: int = 10, trees: int = 80, width: int | None = None, sample: int = 4_000,
             id_col: str = "vec_id", vector_col: str = "embedding", every: int = 100) -> DataFrame:
     """The ``k`` nearest found of every row whose id is divisible by ``every``: query_id, rank from
     1, the id (as ``id_col``) and score, the Euclidean distance in double precision. Nearest first,
