@@ -91,7 +91,7 @@ def randomized_svd(passages: DataFrame, width: int, rank: int, rounds: int = 2,
             return pd.DataFrame({"one": [0], "total": [sum(np.frombuffer(b) for b in pdf["total"]).tobytes()]})
 
         # sums of sums: first by groups of tasks, then one
-        parts = passages.mapInPandas(part, "one long, total binary").withColumn("group", F.spark_partition_id() % 16)
+        parts = passages.mapInPandas(part, "one long, total binary").withColumn("group", F.spark_partition_id() % 4)
         sums = parts.groupBy("group").applyInPandas(lambda pdf: add(pdf), "one long, total binary")
         return sum(np.frombuffer(r["total"]).reshape(width, size) for r in sums.collect())
 
