@@ -13,12 +13,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillage.llm.common import TwoAges
+from tillage.llm.common import TwoAges, hold
 
 _END = ""  # stands for the word end inside the automaton
 _CONTROL = regex.compile("[\x1c-\x1f]")
 _SPACE = regex.compile(r"\p{White_Space}+")
-_CACHED = 400_000  # bounds the memory of a worker
+_CACHED = 300_000  # bounds the memory of a worker
 
 
 def _byte_chars() -> list[str]:
@@ -73,8 +73,8 @@ class PrefixBPE:
         new = [c for c in regex.findall(r"[\p{L}\p{N}]", known) if unicodedata.category(c) == "Cn"]
         self.unknown = dict.fromkeys(map(ord, new), "\u0378")  # a code point that no version assigns
         self.pattern = regex.compile(pattern.replace(r"\s", r"\p{White_Space}"))
-        self.pieces: dict[str, bytes] = TwoAges(_CACHED)
-        self.chunks: dict[str, tuple[bytes, str]] = TwoAges(_CACHED)
+        self.pieces: dict[str, bytes] = TwoAges(_CACHED, "bpe")
+        self.chunks: dict[str, tuple[bytes, str]] = TwoAges(_CACHED, "bpe")
 
     def compatible(self, left: int, right: int) -> bool:
         """Would BPE leave a border between these two tokens? Undoes their merges, latest first."""
@@ -118,7 +118,7 @@ class PrefixBPE:
                             continue
                         ok = known.get((before, token))
                         if ok is None:
-                            if len(known) >= 1_000_000:
+                            if len(known) >= 300_000:
                                 known.clear()
                             ok = known[before, token] = self.compatible(before, token)
                         if not ok:
@@ -197,6 +197,7 @@ _ENCODERS: dict[str, PrefixBPE] = {}  # one per worker and file: only tables mad
 
 
 def _encoder(tokenizer_file: str) -> PrefixBPE:
+    hold("bpe")
     if tokenizer_file not in _ENCODERS:
         _ENCODERS[tokenizer_file] = PrefixBPE(tokenizer_file)
     return _ENCODERS[tokenizer_file]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import weakref
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,13 +26,17 @@ def tasks(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+_MEMOS: list = []
+
+
 class TwoAges(dict):
     """A memo of bounded size for Python workers: a full memo becomes the old age, from which what
-    is used again comes back; it holds at most twice ``size`` entries."""
+    is used again comes back; it holds at most twice ``size`` entries. It belongs to an operator."""
 
-    def __init__(self, size: int):
+    def __init__(self, size: int, owner: str):
         super().__init__()
-        self.size, self.old = size, {}
+        self.size, self.old, self.owner = size, {}, owner
+        _MEMOS[:] = [m for m in _MEMOS if m() is not None] + [weakref.ref(self)]
 
     def missing(self, keys: set) -> set:
         """The keys that neither age holds; those that the old age holds are taken over."""
@@ -48,3 +54,12 @@ class TwoAges(dict):
         if len(self) >= self.size:
             self.old = dict(self)
             self.clear()
+
+
+def hold(owner: str) -> None:
+    """Call at the start of a task: a worker that served another operator before drops that one's memos."""
+    for ref in _MEMOS:
+        memo = ref()
+        if memo is not None and memo.owner != owner:
+            memo.clear()
+            memo.old = {}

@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillage.llm.common import TwoAges, tasks
+from tillage.llm.common import TwoAges, hold, tasks
 from tillage.session import fresh_path, materialize
 
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"  # Unicode's White_Space
@@ -35,7 +35,7 @@ class ChunkEncoder:
     def __init__(self, tokenizer_file: str, dtype: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.dtype, self.cache = Tokenizer.from_file(tokenizer_file), dtype, TwoAges(_CACHED_CHUNKS)
+        self.tokenizer, self.dtype, self.cache = Tokenizer.from_file(tokenizer_file), dtype, TwoAges(_CACHED_CHUNKS, "tokens")
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
 
@@ -71,6 +71,7 @@ _ENCODERS: dict[tuple, ChunkEncoder] = {}  # one per worker, file and type: only
 
 
 def _encoder(tokenizer_file: str, dtype: str) -> ChunkEncoder:
+    hold("tokens")
     key = tokenizer_file, dtype
     if key not in _ENCODERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"

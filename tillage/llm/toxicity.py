@@ -11,11 +11,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillage.llm.common import TwoAges
+from tillage.llm.common import TwoAges, hold
 
 _LONGEST = 16  # characters of a kernel string; longer words are scored in overlapping pieces
 _BORDER = float(np.log(0.3 / 0.7))  # a margin of 0 scores 0.3
-_CACHED = 500_000  # bounds the memory of a worker
+_CACHED = 300_000  # bounds the memory of a worker
 _STRIP = " \t\n\r\x0b\x0c.,;:!?\"'()[]{}<>«»¡¿…-–—*_#/\\"
 _JOIN = re.compile(r"(?<!\w)(?:\w[\W_]{1,2}){3,}\w(?!\w)")
 _INNER = re.compile(r"[\W_]+")
@@ -132,7 +132,7 @@ class ToxicityModel:
 
     def score(self, texts: list[str]) -> list[float]:
         if self.memo is None:
-            self.memo = TwoAges(_CACHED)
+            self.memo = TwoAges(_CACHED, "toxicity")
         out = []
         for first in range(0, len(texts), 200):
             cut = [candidates(t) for t in texts[first : first + 200]]
@@ -247,6 +247,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel | None, column: str = "
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches):
+        hold("toxicity")
         m = shared.value
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
