@@ -178,6 +178,15 @@ def test_every_exact_leak_is_found(spark, sf_dir):
     assert leaks <= got and len(got - leaks) <= 2
 
 
+def test_leaks_beyond_the_latent_rank(spark):
+    # far more passages than the space has directions, and none like another
+    items = [(i, " ".join(f"r{i}y{j}" for j in range(24))) for i in range(1000)]
+    rows = [(i, f"{prose(40)} {items[i][1]} {prose(40)}") for i in range(0, 1000, 10)] + [(5000 + i, prose(120)) for i in range(20)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = flag_contaminated(table, spark.createDataFrame(items, "item_id long, text string")).where("contaminated").collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in got) == [(i, i) for i in range(0, 1000, 10)]
+
+
 @pytest.mark.parametrize("kind", ["float", "double"])
 def test_nearest(spark, kind):
     rng = np.random.default_rng(2)

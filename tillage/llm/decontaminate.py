@@ -16,6 +16,7 @@ from tillage.llm.words import word_hashes
 from tillage.session import materialize
 
 BLOCK_ITEMS = 1000  # items that a task holds at once; a larger benchmark takes several passes
+HELD = 0.95  # of a passage's length: what the latent space has to hold of it to stand for it
 _MARKS = bytes(b for b in range(128) if not chr(b).isalnum())
 _TO_BLANK = bytes.maketrans(_MARKS, b" " * len(_MARKS))
 _SENTENCE = re.compile(r"(?<=[.!?])\s+")
@@ -137,46 +138,78 @@ class _Block:
         return pd.DataFrame(out, columns=["terms", "weights"])
 
     def fit(self, vectors: np.ndarray) -> None:
-        self.space = np.vstack([vectors * self.idf[:, None], np.zeros((1, vectors.shape[1]), np.float32)])
-        self.targets = np.stack([self.space[np.searchsorted(self.terms, np.array(w, np.uint64))].sum(0) for _, w in self.passages])
-        self.targets /= np.linalg.norm(self.targets, axis=1, keepdims=True).clip(1e-9)
+        """Takes the latent space. Passages of which it holds less than HELD are searched by their own words."""
+        self.vectors, self.tables = vectors.astype(np.float32), None
         self.owner = np.array([k for k, _ in self.passages])
-
-    def search(self, texts: list[str], cosine: float) -> dict[int, set[tuple[int, int]]]:
-        """Candidates by text: (item, word at which a similar passage begins)."""
+        self.length = np.full(len(self.passages), self.size)
+
+    def _tables(self) -> list[tuple]:
+        """Per window length: what a word adds to a window's vector, the held passages' targets in its
+        first columns, and the passages in the order of the cosines. Built in the worker: it is larger than the block."""
+        rows, out = self.rows(), []
+        held = np.stack([np.array(w) @ self.vectors[t] for t, w in zip(rows["terms"], rows["weights"])]).astype(np.float32)
+        share = np.linalg.norm(held, axis=1)
+        for length in np.unique(self.length):
+            near, own = (np.flatnonzero((self.length == length) & x) for x in (share >= HELD, share < HELD))
+            latent = self.vectors if len(near) else self.vectors[:, :0]
+            words = np.zeros((len(self.terms), latent.shape[1] + len(own)), np.float32)
+            words[:, : latent.shape[1]] = latent
+            for column, p in enumerate(own, latent.shape[1]):
+                words[rows["terms"][p], column] = rows["weights"][p]
+            targets = (held[near] / share[near, None]).T if len(near) else None
+            out.append((int(length), words * self.idf[:, None], targets, latent.shape[1], np.r_[near, own]))
+        return out
+
+    def search(self, texts: list[str], cosine: float) -> dict[int, set[tuple[int, int, int]]]:
+        """Candidates by text: (item, word at which a similar window begins, length of the window)."""
+        if self.tables is None:
+            self.tables = self._tables()
         hashes, edges = _words(texts)
         at = np.minimum(np.searchsorted(self.terms, hashes), len(self.terms) - 1)
         known = self.terms[at] == hashes
-        squares = np.where(known, self.idf[at] ** 2, self.strange**2)
         self.hashes, self.edges = hashes, edges
-        inside, total = np.r_[0, np.cumsum(np.where(known, squares, 0), dtype=np.float64)], np.r_[0, np.cumsum(squares, dtype=np.float64)]
-        sizes = np.diff(edges)
-        n = np.maximum(1, -(-(sizes - self.step) // self.step)) * (sizes > 0)
-        text = np.repeat(np.arange(len(sizes)), n)
-        begin = edges[:-1][text] + self.step * (np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n))
-        end = np.minimum(begin + self.size, edges[1:][text])
-        # no cosine exceeds the share of the passage's length that benchmark words have
-        share = np.sqrt((inside[end] - inside[begin]) / np.maximum(total[end] - total[begin], 1e-9))
+        squares = np.where(known, self.idf[at] ** 2, self.strange**2)
+        total = np.r_[0, np.cumsum(squares, dtype=np.float64)]
+        sizes, place, term = np.diff(edges), np.flatnonzero(known), at[known]
         found: dict[int, set] = defaultdict(set)
-        maybe = np.flatnonzero(share >= cosine)
-        place = np.where(known, at, len(self.terms))
-        for first in range(0, len(maybe), 1024):
-            some = maybe[first : first + 1024]
-            grid = begin[some, None] + np.arange(self.size)
-            rows = np.where(grid < end[some, None], place[np.minimum(grid, len(place) - 1)], len(self.terms))
-            vectors = self.space[rows].sum(1)
-            near = vectors @ self.targets.T / np.sqrt(total[end[some]] - total[begin[some]])[:, None]
-            for i, p in zip(*np.nonzero(near >= cosine)):
-                found[int(text[some[i]])].add((int(self.owner[p]), int(begin[some[i]])))
+        for length, words, targets, latent, order in self.tables:
+            # windows are two blocks of half their length, so each half is added up once
+            step = max(1, length // 2)
+            n = -(-sizes // step)
+            first = np.cumsum(n) - n
+            text = np.repeat(np.arange(len(sizes)), n)
+            begin = edges[:-1][text] + step * (np.arange(len(text)) - first[text])
+            norm = np.sqrt(total[np.minimum(begin + 2 * step, edges[1:][text])] - total[begin])
+            cut = np.r_[np.searchsorted(place, begin), len(place)]  # the known words of each block
+            for low in range(0, len(text), 1024):
+                high = min(low + 1024, len(text))
+                blocks = np.arange(low, min(high + 1, len(text)))
+                full = np.flatnonzero(cut[blocks + 1] > cut[blocks])
+                if not len(full):
+                    continue
+                sums = np.zeros((len(blocks) + 1, words.shape[1]), np.float32)
+                for part in np.array_split(full, -(-len(full) // 128)):
+                    a, b = cut[blocks[part[0]]], cut[blocks[part[-1]] + 1]
+                    sums[part] = np.add.reduceat(words[term[a:b]], cut[blocks[part]] - a)
+                windows = np.arange(low, high)
+                joined = np.flatnonzero(text[np.minimum(windows + 1, len(text) - 1)] == text[windows])
+                joined = joined[windows[joined] + 1 < len(text)]
+                vectors = sums[: len(windows)]
+                vectors[joined] += sums[joined + 1].copy()
+                limit = cosine * np.maximum(norm[windows], 1e-9)[:, None]
+                if targets is not None:
+                    vectors = np.hstack([vectors[:, :latent] @ targets, vectors[:, latent:]])
+                for i, p in zip(*np.nonzero(vectors >= limit)):
+                    found[int(text[low + i])].add((int(self.owner[order[p]]), int(begin[low + i]), length))
         return found
 
-    def confirm(self, text: int, candidates: set[tuple[int, int]], most: float, less: float) -> tuple[int, float] | None:
+    def confirm(self, text: int, candidates: set[tuple[int, int, int]], most: float, less: float) -> tuple[int, float] | None:
         """(item, overlap) of the best confirmed candidate of a text."""
         best = None
-        for item, begin in candidates:
+        for item, begin, length in candidates:
             words = self.items[item]
             a = max(self.edges[text], begin - len(words))
-            b = min(self.edges[text + 1], begin + self.size + len(words))
+            b = min(self.edges[text + 1], begin + length + len(words))
             region = self.hashes[a:b].tolist()
             overlap = common_subsequence(words, region) / len(words)
             if overlap < less or best and (best[1], -best[0]) >= (overlap, -self.ids[item]):
@@ -194,7 +227,8 @@ def flag_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 32, ran
     Texts are cut into passages of ``size`` words, every half of it. Words weigh by their
     document frequency over all documents. A randomised singular value decomposition of the benchmark's
     TF-IDF passages gives the latent space, in which document passages with a cosine of at least
-    ``cosine`` to a benchmark passage are candidates. Around a candidate, the longest common subsequence with
+    ``cosine`` to a benchmark passage are candidates. A passage that the space does not hold (less than
+    HELD of its length) is compared by its own TF-IDF vector instead, whatever the rank. Around a candidate, the longest common subsequence with
     the whole item has to hold a share ``most`` of the item's words, or ``less`` and 80 percent of
     its answer (the last sentence). So copies, and paraphrases that drop, add or
     swap words, are found; passages that share only common words are not.
