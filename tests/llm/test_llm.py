@@ -187,6 +187,19 @@ def test_leaks_beyond_the_latent_rank(spark):
     assert sorted((r["doc_id"], r["item_id"]) for r in got) == [(i, i) for i in range(0, 1000, 10)]
 
 
+def test_short_items(spark):
+    items, rows = [], []
+    for i, n in enumerate(n for n in range(5, 21) for _ in range(3)):
+        words = [f"s{i}z{j}" for j in range(n)]
+        items.append((i, " ".join(words)))
+        bent = ["other" if n >= 8 and j % 4 == 1 else w for j, w in enumerate(words)]
+        for doc, some in ((i, words), (100 + i, bent)):
+            rows.append((doc, f"{' '.join(f'd{doc}q{j}' for j in range(50 + i))} {' '.join(some)} {' '.join(f'e{doc}q{j}' for j in range(50))}"))
+    table = spark.createDataFrame([*rows, (900, prose(300))], "doc_id long, text string")
+    got = flag_contaminated(table, spark.createDataFrame(items, "item_id long, text string")).where("contaminated").collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in got) == sorted((d, d % 100) for d, _ in rows)
+
+
 @pytest.mark.parametrize("kind", ["float", "double"])
 def test_nearest(spark, kind):
     rng = np.random.default_rng(2)

@@ -17,6 +17,7 @@ from tillage.session import materialize
 
 BLOCK_ITEMS = 1000  # items that a task holds at once; a larger benchmark takes several passes
 HELD = 0.95  # of a passage's length: what the latent space has to hold of it to stand for it
+LENGTHS = (4, 8, 12, 16, 24)  # of the windows for passages shorter than the whole size
 _MARKS = bytes(b for b in range(128) if not chr(b).isalnum())
 _TO_BLANK = bytes.maketrans(_MARKS, b" " * len(_MARKS))
 _SENTENCE = re.compile(r"(?<=[.!?])\s+")
@@ -127,7 +128,6 @@ class _Block:
 
     def weigh(self, frequencies: np.ndarray, documents: int) -> None:
         self.idf = np.log((documents + 1) / (frequencies + 1)).astype(np.float32) + 0.05
-        self.strange = np.float32(np.log(documents + 1) + 0.05)  # of words outside the benchmark: at most this
 
     def rows(self) -> pd.DataFrame:
         out = []
@@ -141,7 +141,9 @@ class _Block:
         """Takes the latent space. Passages of which it holds less than HELD are searched by their own words."""
         self.vectors, self.tables = vectors.astype(np.float32), None
         self.owner = np.array([k for k, _ in self.passages])
-        self.length = np.full(len(self.passages), self.size)
+        # a passage is searched with windows of about its own length
+        lengths = np.array([n for n in LENGTHS if n < self.size] + [self.size])
+        self.length = lengths[np.searchsorted(lengths, [len(w) for _, w in self.passages])]
 
     def _tables(self) -> list[tuple]:
         """Per window length: what a word adds to a window's vector, the held passages' targets in its
@@ -168,7 +170,8 @@ class _Block:
         at = np.minimum(np.searchsorted(self.terms, hashes), len(self.terms) - 1)
         known = self.terms[at] == hashes
         self.hashes, self.edges = hashes, edges
-        squares = np.where(known, self.idf[at] ** 2, self.strange**2)
+        # words that no item has do not make a window longer: the subsequence decides what they part
+        squares = np.where(known, self.idf[at] ** 2, 0)
         total = np.r_[0, np.cumsum(squares, dtype=np.float64)]
         sizes, place, term = np.diff(edges), np.flatnonzero(known), at[known]
         found: dict[int, set] = defaultdict(set)
@@ -224,8 +227,9 @@ def flag_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 32, ran
     """``docs`` with item_id (the benchmark item found, null if none), overlap (the share of the item's
     words in the common subsequence, 0 if none) and contaminated.
 
-    Texts are cut into passages of ``size`` words, every half of it. Words weigh by their
-    document frequency over all documents. A randomised singular value decomposition of the benchmark's
+    Items are cut into passages of ``size`` words, every half of it; texts into windows about as long as
+    the passage that is looked for, each half overlapping the next. Words weigh by their document frequency
+    over all documents; words outside the benchmark do not lessen a cosine. A randomised singular value decomposition of the benchmark's
     TF-IDF passages gives the latent space, in which document passages with a cosine of at least
     ``cosine`` to a benchmark passage are candidates. A passage that the space does not hold (less than
     HELD of its length) is compared by its own TF-IDF vector instead, whatever the rank. Around a candidate, the longest common subsequence with
