@@ -229,6 +229,21 @@ def test_recall(spark, sf_dir):
     assert np.mean(hits) >= 0.9
 
 
+def test_recall_is_measured(spark):
+    # 2 trees: the fixed width finds few of the neighbours
+    points = np.random.default_rng(4).standard_normal((6000, 32))
+    table = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "vec_id long, embedding array<double>")
+    found = {}
+    for r in nearest(table, trees=2).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hits = []
+    for q in range(0, 6000, 100):
+        far = ((points - points[q]) ** 2).sum(1)
+        far[q] = np.inf
+        hits.append(len(set(np.argsort(far)[:10].tolist()) & found[q]) / 10)
+    assert np.mean(hits) >= 0.9
+
+
 def test_url_filter(spark):
     urls = [None, "", "no scheme", "http://", "HTTP://WWW.Example.NET/en/x?y#z", "http://example.net", "http://net/a", "http://xnet/a", "https://a.b.example.com/de/", "https://example.com/DE/",
             "http://org/fr/", "http://x.org/fr", "http://u@example.net:80/en/", "http://a.net?/en/", "ftp://é.NET/://x", "http://example.net./en/", "http://a..net/x", "x://y://example.net/en/", "http://example.net/en/"]

@@ -33,8 +33,66 @@ def fit_planes(points: np.ndarray, trees: int, seed: int = 1) -> tuple[np.ndarra
     return planes, np.concatenate(cuts)
 
 
+def reach_for(entries: DataFrame, keys_of, kind: np.dtype, k: int, trees: int, recall: float, queries: int = 64) -> int:
+    """How many sorted neighbours to either side a query has to take from every tree so that the share
+    ``recall`` of the true ``k`` nearest of some asked entries is found. Brute force gives the true ones; one more
+    scan counts the entries before each of them in every tree, so the share is known for any reach."""
+    some = entries.where("asked").orderBy(F.xxhash64("entry")).limit(queries).select("entry", "vector").collect()
+    if not some:
+        return 0
+    points = np.stack([np.frombuffer(r["vector"], kind) for r in some]).astype(float)
+    own = np.array([r["entry"] for r in some])
+
+    def brute(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2000):
+                part = batch.slice(at, 2000)
+                cells = part.column("vector").to_pylist()
+                held = np.frombuffer(b"".join(cells), kind).reshape(len(cells), -1).astype(float)
+                far = ((points**2).sum(1)[:, None] - 2 * points @ held.T + (held**2).sum(1)).clip(0)
+                far[own[:, None] == part.column("entry").to_numpy()[None, :]] = np.inf
+                best = np.argsort(far, 1)[:, :k]
+                q, j = np.repeat(np.arange(len(points)), best.shape[1]), best.ravel()
+                fine = np.isfinite(far[q, j])
+                yield pa.RecordBatch.from_arrays([pa.array(q[fine]), pa.array(far[q, j][fine]), pa.array([cells[x] for x in j[fine]], pa.binary())], names=["q", "far", "vector"])
+
+    order = Window.partitionBy("q").orderBy("far", "vector")
+    true = (
+        entries.select("entry", "vector").mapInArrow(brute, "q long, far double, vector binary")
+        .withColumn("at", F.row_number().over(order)).where(F.col("at") <= k).select("q", "vector").collect())
+    if not true:
+        return 0
+    asked = keys_of(points)
+    theirs = keys_of(np.stack([np.frombuffer(r["vector"], kind) for r in true]).astype(float))
+    mine = asked[[r["q"] for r in true]]
+    low, high = np.minimum(mine, theirs), np.maximum(mine, theirs)
+    edges = [np.unique(np.r_[low[:, t], high[:, t] + 1]) for t in range(trees)]
+    start = np.r_[0, np.cumsum([len(e) + 1 for e in edges])]
+
+    def counted(batches):
+        seen = np.zeros(start[-1], np.int64)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                cells = batch.slice(at, 1000).column("vector").to_pylist()
+                keys = keys_of(np.frombuffer(b"".join(cells), kind).reshape(len(cells), -1))
+                for t in range(trees):
+                    seen[start[t] : start[t + 1]] += np.bincount(np.searchsorted(edges[t], keys[:, t], "right"), minlength=len(edges[t]) + 1)
+        full = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(seen[full])], names=["slot", "n"])
+
+    slots = np.zeros(start[-1], np.int64)
+    for r in entries.select("vector").mapInArrow(counted, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect():
+        slots[r["slot"]] = r["n"]
+    apart = np.full(len(true), np.iinfo(np.int64).max)
+    for t in range(trees):
+        before = np.cumsum(slots[start[t] : start[t + 1]])  # entries with a key below each edge
+        span = before[np.searchsorted(edges[t], high[:, t] + 1)] - before[np.searchsorted(edges[t], low[:, t])]
+        apart = np.minimum(apart, span - 1)
+    return int(np.sort(apart)[min(len(apart), int(np.ceil(recall * len(apart)))) - 1])
+
+
 def nearest(vectors: DataFrame, k: int = 10, trees: int = 80, width: int | None = None, sample: int = 4_000,
-            id_col: str = "vec_id", vector_col: str = "embedding", every: int = 100) -> DataFrame:
+            id_col: str = "vec_id", vector_col: str = "embedding", every: int = 100, recall: float = 0.95) -> DataFrame:
     """The ``k`` nearest found of every row whose id is divisible by ``every``: query_id, rank from
     1, the id (as ``id_col``) and score, the Euclidean distance in double precision. Nearest first,
     ties to the smaller id; fewer rows where there are fewer candidates.
@@ -44,8 +102,8 @@ def nearest(vectors: DataFrame, k: int = 10, trees: int = 80, width: int | None
     to shorter prefixes until each has given up to ``width`` entries on either side. These
     are measured on the original vectors; a tree passes on the k + 1 nearest, which is all
     that the result can take from it. By default ``width`` grows as the number of vectors to the power
-    0.6 (100 at least): by that it keeps its recall even on vectors without any
-    structure, of which it measures a falling share. The directions and medians come from
+    0.6 (100 at least), and further until 64 of the queries, compared with brute force, find the share
+    ``recall`` of their true neighbours. The directions and medians come from
     at most ``sample`` vectors, those of the smallest hash; all vectors are indexed.
 
     The sorted arrays are one range-partitioned shuffle, so a prefix that very many vectors
@@ -80,17 +138,21 @@ def nearest(vectors: DataFrame, k: int = 10, trees: int = 80, width: int | None
         distinct.join(asked.select("vector").distinct().withColumn("asked", F.lit(True)), "vector", "left")
         .select("vector", "ids", F.col("asked").isNotNull().alias("asked"), F.xxhash64("vector").alias("entry"), F.col("ids")[0].alias("low")), "ann-entries")
     n = entries.count()
-    reach = width or max(100, int(np.ceil(0.25 * n**0.6)))
     weights = (1 << np.arange(BITS - 1, -1, -1)).astype(np.int64)
 
+    def keys_of(points):
+        bits = points @ planes > cuts
+        return np.stack([bits[:, t * BITS : (t + 1) * BITS] @ weights for t in range(trees)], 1)
+
+    reach = width or max(100, int(np.ceil(0.25 * n**0.6)), reach_for(entries, keys_of, kind, k, trees, recall))
+
     def hashed(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 m = part.num_rows
                 points = np.frombuffer(b"".join(part.column("vector").to_pylist()), kind).reshape(m, -1)
-                bits = points @ planes > cuts
-                keys = np.stack([bits[:, t * BITS : (t + 1) * BITS] @ weights for t in range(trees)], 1)
+                keys = keys_of(points)
                 again = pa.array(np.repeat(np.arange(m), trees))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.tile(np.arange(trees, dtype=np.int32), m)), pa.array(keys.ravel()), *(part.column(c).take(again) for c in ("entry", "low", "asked", "vector"))],
@@ -113,7 +175,8 @@ def nearest(vectors: DataFrame, k: int = 10, trees: int = 80, width: int | None
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out)], names=["query", "entry", "low", "score"])
 
-    parts = max(tasks(spark), trees, n * trees // 100_000)
+    # ranges hold several times the reach, so few queries are near the end of one
+    parts = max(1, min(max(tasks(spark), trees, n * trees // 100_000), n * trees // (8 * reach)))
     forest = (
         entries.repartition(tasks(spark)).mapInArrow(hashed, "tree int, key long, entry long, low long, asked boolean, vector binary")
         .repartitionByRange(parts, "tree", "key", "entry").sortWithinPartitions("tree", "key", "entry"))
