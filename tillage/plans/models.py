@@ -74,9 +74,6 @@ def _(spark, d):
 
 # ---- regression -----------------------------------------------------------------------------------------
 
-# smaller forests than the defaults of the library, which are the published ones
-_SMALL = {"trees": 10, "depth": 6, "rounds": 10, "boost_depth": 4, "rate": 0.05}
-
 
 def _sets(spark, d, exclude_leaky=False):
     df = farm(spark, d, *_KEY, Y, *_NUMERIC, *_LABELS)
@@ -87,7 +84,7 @@ def _sets(spark, d, exclude_leaky=False):
 
 def _trained(spark, d, *names):
     train, test, numeric, labels = _sets(spark, d)
-    chosen = {n: m for n, m in models.regressors(**_SMALL).items() if n in names}
+    chosen = {n: m for n, m in models.regressors().items() if n in names}
     return models.train(train, numeric, labels, chosen), test, numeric, labels
 
 
