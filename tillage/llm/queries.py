@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 from tillage.llm.ann import nearest
 from tillage.llm.bpe import bpe_encode
 from tillage.llm.common import table
+from tillage.llm.conversation_repair import damage, repair_conversations
 from tillage.llm.decontaminate import flag_contaminated
 from tillage.llm.line_dedup import line_dedup
 from tillage.llm.minhash import near_duplicates
+from tillage.llm.spelling import spelling_variants
 from tillage.llm.substring_dedup import substring_dedup
 from tillage.llm.suffix_dedup import suffix_dedup
 from tillage.llm.token_files import token_files
 from tillage.llm.toxicity import fit_toxicity, score_toxicity
 from tillage.llm.url_filter import filter_urls
+from tillage.llm.warc import warc_captures
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -123,3 +126,24 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op10_token_files")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return token_files(table(spark, folder, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
+@_query("op11_spelling")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_variants(table(spark, folder, "documents"))
+
+
+@_query("op12_warc", """
+WITH bodies AS (SELECT page_id, url, coalesce(html, '') AS body FROM pages),
+known AS (SELECT *, octet_length(encode(body))::BIGINT AS n, min(page_id) OVER (PARTITION BY body) AS first FROM bodies)
+SELECT page_id, n AS payload_bytes, sha256(body) AS payload_digest,
+  CASE WHEN n >= 100 AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 100 AND page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM known""")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return warc_captures(table(spark, folder, "pages")).drop("capture")
+
+
+@_query("op13_conversation_repair")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return repair_conversations(damage(table(spark, folder, "conversations")), texts=False).drop("repaired")
