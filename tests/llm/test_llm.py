@@ -345,3 +345,38 @@ def test_pipeline(spark, sf_dir):
             assert after.columns == columns
         held = after
     same(pipeline.run(spark, sf_dir).collect(), held.collect())
+
+
+def test_near_duplicates_with_a_common_passage(spark):
+    """Texts that are mostly one passage and yet not alike do not meet; those that are alike do."""
+    passage = [f"p{i}" for i in range(90)]
+    rows = []
+    for i in range(600):
+        n = 17 + i % 5
+        rows.append((i, " ".join(passage + [f"u{i}x{j}" for j in range(n)])))
+    rows += [(1000 + i, " ".join([f"v{i}y{j}" for j in range(i % 4)] + passage + [f"w{i // 2}" * (i % 3 == 0)])) for i in range(60)]
+    rows += [(2000 + i, rows[i][1] + " more") for i in range(40)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    same(near_duplicates(table, percent=85, shingle=3).collect(), brute.near(rows, 85, 3))
+
+
+def test_memo_is_bounded_by_bytes():
+    from tillage.llm.common import TwoAges, hold
+
+    memo = TwoAges(10_000, "one")
+    for i in range(3000):
+        for k in memo.missing({f"k{i}"}):
+            memo[k] = (b"x" * 50, "y")
+        memo.turn()
+        assert len(memo) + len(memo.old) < 150
+    hold("one")
+    assert memo
+    hold("two")
+    assert not memo and not memo.old
+
+
+def test_one_row_stays_of_each_group(spark):
+    rows = [(1, "a b c d e f g"), (1, "a b c d e f g"), (2, "a b c d e f g"), (1, "other text of the same id here"), (3, None), (3, None), (None, "a b c d e f g"), (4, "")]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = near_duplicates(table, rows=True).collect()
+    same(((r.doc_id, r.n_shingles, r.first) for r in got), [(1, 3, True), (1, 3, True), (2, 3, False), (1, 3, True), (3, 0, True), (3, 0, True), (None, 3, True), (4, 0, True)])

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillage.llm.common import tasks
+from tillage.llm.common import hold, tasks
 from tillage.session import materialize
 
 BITS = 63
@@ -44,6 +44,7 @@ def reach_for(entries: DataFrame, keys_of, kind: np.dtype, k: int, trees: int, r
     own = np.array([r["entry"] for r in some])
 
     def brute(batches):
+        hold("ann")
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
@@ -70,6 +71,7 @@ def reach_for(entries: DataFrame, keys_of, kind: np.dtype, k: int, trees: int, r
     start = np.r_[0, np.cumsum([len(e) + 1 for e in edges])]
 
     def counted(batches):
+        hold("ann")
         seen = np.zeros(start[-1], np.int64)
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
@@ -118,6 +120,7 @@ def nearest(vectors: DataFrame, k: int = 10, trees: int = 80, width: int | None
     kind = np.dtype("<f4" if single else "<f8")
 
     def packed(batches):
+        hold("ann")
         for batch in batches:
             column = batch.column("vector")
             cells = [np.asarray(x, kind).tobytes() for x in column.to_pylist()]
@@ -147,6 +150,7 @@ def nearest(vectors: DataFrame, k: int = 10, trees: int = 80, width: int | None
     reach = width or max(100, int(np.ceil(0.25 * n**0.6)), reach_for(entries, keys_of, kind, k, trees, recall))
 
     def hashed(batches):
+        hold("ann")
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
@@ -159,6 +163,7 @@ def nearest(vectors: DataFrame, k: int = 10, trees: int = 80, width: int | None
                     names=["tree", "key", "entry", "low", "asked", "vector"])
 
     def neighbours(batches):
+        hold("ann")
         held = pa.Table.from_batches(list(batches), schema=None) if (batches := [b for b in batches if b.num_rows]) else None
         if held is None:
             return

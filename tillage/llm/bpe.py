@@ -18,7 +18,7 @@ from tillage.llm.common import TwoAges, hold
 _END = ""  # stands for the word end inside the automaton
 _CONTROL = regex.compile("[\x1c-\x1f]")
 _SPACE = regex.compile(r"\p{White_Space}+")
-_CACHED = 150_000  # bounds the memory of a worker
+_CACHED = 40 << 20  # bytes of an age of a memo
 
 
 def _byte_chars() -> list[str]:

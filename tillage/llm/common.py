@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
 import weakref
+from contextlib import suppress
+from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,15 +33,21 @@ def tasks(spark: SparkSession) -> int:
 
 
 _MEMOS: list = []
+_SERVED: list = [None]  # the operator that this worker served last
+
+
+def _weight(x) -> int:
+    return sys.getsizeof(x) + (sum(map(_weight, x)) if isinstance(x, tuple) else 0)
 
 
 class TwoAges(dict):
     """A memo of bounded size for Python workers: a full memo becomes the old age, from which what
-    is used again comes back; it holds at most twice ``size`` entries. It belongs to an operator."""
+    is used again comes back; it holds at most twice ``most`` bytes, but for what one batch
+    adds. It belongs to an operator."""
 
-    def __init__(self, size: int, owner: str):
+    def __init__(self, most: int, owner: str):
         super().__init__()
-        self.size, self.old, self.owner = size, {}, owner
+        self.most, self.old, self.owner, self.counted, self.held = most, {}, owner, 0, 0
         _MEMOS[:] = [m for m in _MEMOS if m() is not None] + [weakref.ref(self)]
 
     def missing(self, keys: set) -> set:
@@ -51,15 +63,30 @@ class TwoAges(dict):
 
     def turn(self) -> None:
         """Call between batches: starts a new age if this one is full."""
-        if len(self) >= self.size:
+        if len(self) > self.counted:  # new entries stand last
+            self.held += sum(100 + _weight(k) + _weight(v) for k, v in islice(reversed(self.items()), len(self) - self.counted))
+            self.counted = len(self)
+        if self.held >= self.most:
             self.old = dict(self)
             self.clear()
 
+    def clear(self) -> None:
+        super().clear()
+        self.counted = self.held = 0
+
 
 def hold(owner: str) -> None:
-    """Call at the start of a task: a worker that served another operator before drops that one's memos."""
+    """Call at the start of every Python task: a worker that served another operator before drops
+    that one's memos and gives the freed memory back to the machine."""
+    if _SERVED[0] == owner:
+        return
+    _SERVED[0] = owner
     for ref in _MEMOS:
         memo = ref()
         if memo is not None and memo.owner != owner:
             memo.clear()
             memo.old = {}
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # where the C library can do it
+        ctypes.CDLL(None).malloc_trim(0)

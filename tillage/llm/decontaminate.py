@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillage.llm.common import tasks
+from tillage.llm.common import hold, tasks
 from tillage.llm.words import word_hashes
 from tillage.session import materialize
 
@@ -48,6 +48,7 @@ def document_frequencies(docs: DataFrame, terms: np.ndarray) -> tuple[np.ndarray
     """In how many of all documents each of ``terms`` (sorted hashes) occurs, and how many there are."""
 
     def count(batches):
+        hold("decontamination")
         seen, n = np.zeros(len(terms), np.int64), 0
         for batch in batches:
             texts = [t or "" for t in batch.column(0).to_pylist()]
@@ -83,6 +84,7 @@ def randomized_svd(passages: DataFrame, width: int, rank: int, rounds: int = 2,
         size = x.shape[1]
 
         def part(batches):
+            hold("decontamination")
             total = np.zeros((width, size))
             for pdf in batches:
                 for t, w in zip(pdf["terms"], pdf["weights"]):
@@ -90,6 +92,7 @@ def randomized_svd(passages: DataFrame, width: int, rank: int, rounds: int = 2,
             yield pd.DataFrame({"one": [0], "total": [total.tobytes()]})
 
         def add(pdf):
+            hold("decontamination")
             return pd.DataFrame({"one": [0], "total": [sum(np.frombuffer(b) for b in pdf["total"]).tobytes()]})
 
         # sums of sums: first by groups of tasks, then one
@@ -265,7 +268,12 @@ def _search(docs: DataFrame, block: _Block, cosine: float, most: float, less: fl
     shared = docs.sparkSession.sparkContext.broadcast(block)  # at most BLOCK_ITEMS items and their vectors
 
     def run(batches):
+        hold("decontamination")
         b = shared.value
+        yield from searched(b, batches)
+        b.tables = None  # a worker holds them no longer than its task
+
+    def searched(b, batches):
         for batch in batches:
             texts = [t or "" for t in batch.column("text").to_pylist()]
             ids, overlaps, bad = (batch.column(c).to_pylist() for c in ("item_id", "overlap", "contaminated"))

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillage.llm.common import hold
 from tillage.llm.components import components
 from tillage.llm.words import mix, shingle_set
 from tillage.session import materialize
@@ -34,6 +35,7 @@ def _signed(docs: DataFrame, shingle: int, coordinates: int) -> DataFrame:
     places = np.arange(coordinates, dtype=np.int64) << 40
 
     def run(batches):
+        hold("minhash")
         for batch in batches:
             n, classes, items = [], [], []
             for text in batch.column("text").to_pylist():
@@ -60,6 +62,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose full sets reach the similarity."""
 
     def run(batches):
+        hold("minhash")
         for batch in batches:
             keep = []
             for a, b in zip(batch.column("left").to_pylist(), batch.column("right").to_pylist()):
@@ -73,9 +76,37 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return full.select("a", "b", "left", "right").mapInArrow(run, "a binary, b binary")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80, shingle: int = 5, coordinates: int = 64) -> DataFrame:
+def _within_reach(posted: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different labels that meet under their first common token and can still reach
+    the similarity. ``posted``: cls, n, label, token, place (of the token in the set's order), big.
+
+    What comes before a first common token is not shared, so at most ``min(n - place, m - place)``
+    tokens are. The smaller set is posted under so few tokens that a partner of its own size
+    is possible, once, with its size; the larger one asks for the sizes that its place leaves
+    possible. Sizes are in bands of a twentieth, which are part of the key, so sets that only
+    have a passage in common do not meet. Two sets of a list's largest component never meet.
+    """
+    whole = 100 + percent
+    band = lambda size: F.floor(F.log(size.cast("double")) / float(np.log(20 / 19))).cast("int")
+    small = posted.where(f"(n - place) * {whole} >= 2 * {percent} * n").select(
+        "token", band(F.col("n")).alias("band"), F.col("cls").alias("a"), "n", F.col("label").alias("la"), F.col("place").alias("i"), "big")
+    least = F.expr(f"({percent} * n + 99) div 100")
+    most = F.least(F.col("n"), F.expr(f"((n - place) * {whole}) div {percent} - n"))
+    large = posted.where(most >= least).select(
+        "token", F.explode(F.sequence(band(least), band(most))).alias("band"), F.col("cls").alias("b"), F.col("n").alias("m"), F.col("label").alias("lb"), F.col("place").alias("j"), "big")
+    fits = (f"la <> lb AND n <= m AND (n < m OR a < b) AND 100 * n >= {percent} * m"
+            f" AND (n - i) * {whole} >= {percent} * (n + m) AND (m - j) * {whole} >= {percent} * (n + m)")
+
+    def across(x: DataFrame, y: DataFrame) -> DataFrame:
+        return x.drop("big").join(y.drop("big"), ["token", "band"]).where(fits).select("a", "b")
+
+    return across(small.where("NOT big"), large).unionAll(across(small.where("big"), large.where("NOT big")))
+
+
+def near_duplicates(docs: DataFrame, percent: int = 80, shingle: int = 5, coordinates: int = 64, rows: bool = False) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (smallest doc_id reachable over
-    links, itself included) and kept (doc_id = component_id). Two documents are linked if the
+    links, itself included) and kept (doc_id = component_id); with ``rows`` also text_hash and
+    first, which is true for the one text of a component, by doc_id and hash, that stands for it. Two documents are linked if the
     sets of their distinct ``shingle``-word shingles have a Jaccard similarity of at least
     ``percent`` percent; words are split at ASCII blanks and A-Z is lower-cased.
 
@@ -99,14 +130,17 @@ def near_duplicates(docs: DataFrame, percent: int = 80, shingle: int = 5, coordi
     classes = materialize(
         used.groupBy("cls").agg(F.min(F.struct("doc_id", "hash")).alias("who"), F.first("n").alias("n"), F.first("items").alias("items")), "classes")
     labels = _labels(docs, classes, t, coordinates, shingle, percent)
-    doc_of = classes.select("cls", F.col("who.doc_id").alias("low")).join(labels.withColumnRenamed("node", "cls"), "cls")
-    lowest = doc_of.join(doc_of.groupBy("label").agg(F.min("low").alias("component_id")), "label").select("cls", "component_id")
-    alone = classes.select("cls", F.col("who.doc_id").alias("own"))
-    found = alone.join(lowest, "cls", "left").select("cls", F.coalesce("component_id", "own").alias("component_id"))
-    joined = signed.select("doc_id", "n", "cls").join(found, "cls", "left")
-    component = F.when(F.col("doc_id").isNull() | (F.col("n") == 0), F.col("doc_id")).otherwise(F.col("component_id"))
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
-        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    doc_of = classes.select("cls", F.col("who").alias("low")).join(labels.withColumnRenamed("node", "cls"), "cls")
+    lowest = doc_of.join(doc_of.groupBy("label").agg(F.min("low").alias("lowest")), "label").select("cls", "lowest")
+    alone = classes.select("cls", F.col("who").alias("own"))
+    found = alone.join(lowest, "cls", "left").select("cls", F.coalesce("lowest", "own").alias("lowest"))
+    joined = signed.select("doc_id", "hash", "n", "cls").join(found, "cls", "left")
+    linked = F.col("doc_id").isNotNull() & (F.col("n") > 0)
+    out = joined.select(
+        "doc_id", F.col("n").alias("n_shingles"), F.when(linked, F.col("lowest.doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.col("hash").alias("text_hash"), (~linked | F.coalesce(F.col("lowest") == F.struct("doc_id", "hash"), F.lit(False))).alias("first"))
+    out = out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    return out.select("doc_id", "n_shingles", "component_id", "kept", *(("text_hash", "first") if rows else ()))
 
 
 def _labels(docs: DataFrame, classes: DataFrame, t: int, coordinates: int, shingle: int, percent: int) -> DataFrame:
@@ -124,6 +158,7 @@ def _labels(docs: DataFrame, classes: DataFrame, t: int, coordinates: int, shing
 
     # the sets of the posted classes, from one pass over the texts
     def grams(batches):
+        hold("minhash")
         for batch in batches:
             sets = [shingle_set(x.encode(), shingle).tobytes() for x in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("cls"), pa.array(sets, pa.binary())], names=["cls", "grams"])
@@ -154,6 +189,7 @@ def _labels(docs: DataFrame, classes: DataFrame, t: int, coordinates: int, shing
     open_ = told.join(mixed, "item").select("cls", "n", "label").distinct()
 
     def unpacked(batches):
+        hold("minhash")
         for batch in batches:
             cells = [np.frombuffer(x, np.int64) for x in batch.column("grams").to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("cls", "n", "label")), pa.array(cells, pa.list_(pa.int64()))], names=["cls", "n", "label", "grams"])
@@ -163,15 +199,15 @@ def _labels(docs: DataFrame, classes: DataFrame, t: int, coordinates: int, shing
     rare = tokens.groupBy("token").agg(F.count("*").alias("size")).where("size > 1")
     known = tokens.join(rare, "token").groupBy("cls").agg(F.sort_array(F.collect_list(F.struct("size", "token"))).alias("known"))
     # shingles that one class alone has come first and meet nothing
-    room = F.col("n") - F.expr(f"({percent} * n + 99) div 100") + 1 - (F.col("n") - F.size("known"))
-    prefixes = known.join(grams_of.drop("grams"), "cls").where(room > 0).select(
-        "cls", "n", "label", F.explode(F.slice("known", F.lit(1), room.cast("int")).getField("token")).alias("token"))
-    posted = materialize(prefixes, "prefixes")
+    own = F.col("n") - F.size("known")
+    reach = F.expr(f"n - ({percent} * n + 99) div 100 + 1").cast("int") - own
+    posted = materialize(
+        known.join(grams_of.drop("grams"), "cls").where(reach > 0)
+        .select("cls", "n", "label", own.alias("own"), F.posexplode(F.slice("known", F.lit(1), reach).getField("token")).alias("at", "token"))
+        .select("cls", "n", "label", "token", (F.col("own") + F.col("at")).cast("long").alias("place")), "prefixes")
     held = posted.groupBy("token", "label").agg(F.count("*").alias("size"))
     parts = held.groupBy("token").agg(F.max(F.struct("size", "label")).alias("top"), F.count("*").alias("parts")).where("parts > 1").select("token", F.col("top.label").alias("top"))
-    several = posted.join(parts, "token")
-    few = several.where("label <> top").select("token", F.col("cls").alias("a"), "n", F.col("label").alias("la"))
-    rest = several.select("token", F.col("cls").alias("b"), F.col("n").alias("m"), F.col("label").alias("lb"), (F.col("label") == F.col("top")).alias("big"))
-    across = few.join(rest, "token").where((F.col("la") != F.col("lb")) & fits & (F.col("big") | (F.col("a") < F.col("b"))))
-    second = materialize(_verified(colliding(across.select("a", "b")), sets, percent), "links")
+    several = posted.join(parts, "token").withColumn("big", F.col("label") == F.col("top")).drop("top")
+    met = _within_reach(several, percent)
+    second = materialize(_verified(colliding(met), sets, percent), "links")
     return labels if second.isEmpty() else components(first.unionAll(second))

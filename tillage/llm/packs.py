@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillage.llm.common import LOWEST, tasks
+from tillage.llm.common import LOWEST, hold, tasks
 from tillage.llm.words import mix, powers
 from tillage.session import materialize
 
@@ -27,8 +27,10 @@ PACK_BYTES = 2 << 20
 _BLOCK = 1 << 20
 _BASE = np.uint64(0x2545F4914F6CDD1D)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
-#: An anchor in more places than this has its windows dealt out one by one, by their own hash.
+#: The contexts of an anchor in more places than this are dealt out in two halves, each by the text
+#: that all its windows share.
 CROWDED = 1000
+BANDS = 2
 
 
 def write_packs(docs: DataFrame) -> DataFrame:
@@ -37,6 +39,7 @@ def write_packs(docs: DataFrame) -> DataFrame:
     texts from them, and a row keeps its place whatever its doc_id."""
 
     def run(batches):
+        hold("packs")
         part, made = TaskContext.get().partitionId(), 0
         ids, texts, held = [], [], 0
         names = ["pack", "doc_ids", "sizes", "data"]
@@ -118,6 +121,7 @@ def repeated_anchors(packs: DataFrame, anchors: Callable, buckets: int, by_docum
     ``by_document``), with a mark on crowded ones. A pack sends each anchor once, with a count."""
 
     def send(batches):
+        hold("packs")
         for batch in batches:
             for row in batch.to_pylist():
                 pack = Pack(row["doc_ids"], row["sizes"], row["data"])
@@ -139,6 +143,7 @@ def repeated_anchors(packs: DataFrame, anchors: Callable, buckets: int, by_docum
                     names=["bucket", "pack", "names", "counts"])
 
     def match(pdf: pd.DataFrame) -> pd.DataFrame:
+        hold("packs")
         parts = [np.frombuffer(x, np.uint64) for x in pdf["names"]]
         names = np.concatenate(parts)
         counts = np.concatenate([np.frombuffer(x, np.uint32) for x in pdf["counts"]]).astype(np.int64)
@@ -169,11 +174,13 @@ def known_set(known) -> tuple[np.ndarray, np.ndarray]:
 class Contexts:
     """A pack's contexts with repeated anchors; equal ones are sent once.
 
-    ``width`` bytes stand for a unit in ``body``. Crowded contexts fall into single windows.
-    ``shard`` says where each distinct context goes.
+    ``width`` bytes stand for a unit in ``body``. A crowded context is cut into bands of windows by
+    where the anchor stands in them. All windows of a band hold the same stretch of text around
+    the anchor, and equal windows lie in bands of equal stretches, so a band goes where its stretch
+    says, whole. ``shard`` says where each distinct context goes.
     """
 
-    def __init__(self, body: bytes, width: int, found, known, window: int, shards: int, docs: np.ndarray):
+    def __init__(self, body: bytes, width: int, found, known, window: int, gram: int, shards: int, docs: np.ndarray):
         names, place, first, last = found
         have, crowded = known_set(known)
         if len(have):
@@ -182,13 +189,15 @@ class Contexts:
         else:
             at, hit = np.zeros(len(names), np.int64), np.zeros(len(names), bool)
         names, place, first, last, loose, docs = (x[hit] for x in (names, place, first, last, crowded[at] if len(have) else hit, docs))
+        band = -(-(window - gram + 1) // BANDS)
         if loose.any():
-            n = np.where(loose, last - first + 1, 1)
-            again = np.repeat(np.arange(len(n)), n)
-            step = np.arange(len(again)) - np.repeat(np.cumsum(n) - n, n)
-            single = loose[again]
-            names, place, docs, loose = names[again], place[again], docs[again], single
-            first, last = np.where(single, first[again] + step, first[again]), np.where(single, first[again] + step, last[again])
+            # a band's windows begin from ``place - band * (b + 1) + 1`` to ``place - band * b``
+            low, high = np.where(loose, (place - last) // band, 0), np.where(loose, (place - first) // band, 0)
+            again = np.repeat(np.arange(len(low)), high - low + 1)
+            b = low[again] + np.arange(len(again)) - np.repeat(np.cumsum(high - low + 1) - (high - low + 1), high - low + 1)
+            names, place, docs, loose, first, last = (x[again] for x in (names, place, docs, loose, first, last))
+            first = np.where(loose, np.maximum(first, place - band * (b + 1) + 1), first)
+            last = np.where(loose, np.minimum(last, place - band * b), last)
         self.first, self.last, self.docs = first, last, docs
         index: dict[tuple, int] = {}
         self.which = np.zeros(len(names), np.int64)  # of each context: the distinct one
@@ -202,7 +211,11 @@ class Contexts:
                 got = index[key] = len(rows)
                 rows.append((name, offset, b - a + 1))
                 self.texts.append(text)
-                where.append(_own_hash(text) % shards if one else name % shards)
+                if one:
+                    b = offset // band
+                    where.append(_own_hash(body[(a + offset - band * b) * width : (a + offset - band * (b + 1) + 1 + window) * width]) % shards)
+                else:
+                    where.append(name % shards)
             self.which[i] = got
         self.rows = np.array(rows, np.dtype([("name", np.uint64), ("offset", np.int32), ("windows", np.int32)])) if rows else np.zeros(0, [("name", np.uint64), ("offset", np.int32), ("windows", np.int32)])
         self.shard = np.array(where, np.int64)
@@ -240,6 +253,7 @@ def exchange(packs: DataFrame, known: DataFrame, contexts: Callable, judge: Call
     returns pack and flags, the answers by shard."""
 
     def send(batches):
+        hold("packs")
         for batch in batches:
             for row in batch.to_pylist():
                 made, values = contexts(Pack(row["doc_ids"], row["sizes"], row["data"]), row["known"])

@@ -9,6 +9,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tillage.llm.common import hold
 from tillage.llm.fm_index import FMIndex, RangeMinimum
 from tillage.llm.packs import CROWDED, Contexts, Pack, buckets_for, cover, exchange, find_anchors, repeated_anchors, write_packs
 from tillage.llm.words import gram_hashes, word_hashes
@@ -26,6 +27,7 @@ def _pack_words(pack: Pack):
 
 def _judge(window: int):
     def judge(pdf: pd.DataFrame) -> pd.DataFrame:
+        hold("packs")
         kind = np.dtype([("name", np.uint64), ("offset", np.int32), ("windows", np.int32)])
         index: dict[tuple, int] = {}
         which, least, texts, sizes, windows_of, own = [], [], [], [], [], []
@@ -93,8 +95,8 @@ def substring_dedup(docs: DataFrame, window: int = 13, gram: int = 5, texts: boo
     Only runs whose anchor stands in two documents travel, as contexts: one copy per pack of
     equal ones, with the smallest doc_id there. A shard builds an FM-index of its distinct contexts
     and streams all their windows through it by backward search; the interval of a match gives
-    the smallest doc_id that holds it. An anchor in very many places has its windows dealt out
-    by their own hash, so no shard holds a hot group.
+    the smallest doc_id that holds it. The contexts of an anchor in very many places are
+    dealt out in halves, by the words that the windows of a half share.
     """
     packs = write_packs(docs)
     buckets = buckets_for(packs)
@@ -111,7 +113,7 @@ def substring_dedup(docs: DataFrame, window: int = 13, gram: int = 5, texts: boo
         all_, hashes, edges, words = found(pack)
         body = np.ascontiguousarray(hashes.view(np.uint8).reshape(-1, 8)[:, :_WIDTH]).tobytes()
         docs = pack.ids[np.searchsorted(edges[1:], all_[1], "right")] if len(all_[0]) else np.zeros(0, np.int64)
-        return Contexts(body, _WIDTH, all_, known, window, buckets, docs), hashes, edges, words
+        return Contexts(body, _WIDTH, all_, known, window, gram, buckets, docs), hashes, edges, words
 
     def contexts(pack: Pack, known):
         c, _, _, _ = made(pack, known)
@@ -138,6 +140,7 @@ def substring_dedup(docs: DataFrame, window: int = 13, gram: int = 5, texts: boo
         return cover(len(hashes), start[hit | (least_of[which] < doc)], window)
 
     def finish(batches):
+        hold("packs")
         for batch in batches:
             for row in batch.to_pylist():
                 pack = Pack(row["doc_ids"], row["sizes"], row["data"])

@@ -9,6 +9,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tillage.llm.common import hold
 from tillage.llm.packs import CROWDED, Contexts, Pack, buckets_for, cover, exchange, find_anchors, repeated_anchors, write_packs
 from tillage.llm.words import mix, powers
 
@@ -91,6 +92,7 @@ def sort_suffixes(text: HashedText, places: np.ndarray, groups: np.ndarray, most
 
 def _judge(window: int):
     def judge(pdf: pd.DataFrame) -> pd.DataFrame:
+        hold("packs")
         kind = np.dtype([("name", np.uint64), ("offset", np.int32), ("windows", np.int32)])
         index: dict[tuple, int] = {}
         which, total, texts, tops, sizes = [], [], [], [], []
@@ -155,8 +157,8 @@ def suffix_dedup(docs: DataFrame, length: int = 400, texts: bool = True, crowded
 
     Only strings whose anchor occurs twice travel, as contexts: one copy per pack of equal ones.
     A shard sorts the suffixes that begin its strings, those with one anchor at one offset side by
-    side, and neighbours in that order that agree in ``length`` bytes are repeats. An anchor in very
-    many places has its strings dealt out by their own hash, so no shard holds a hot group.
+    side, and neighbours in that order that agree in ``length`` bytes are repeats. The contexts
+    of an anchor in very many places are dealt out in halves, by the text that the strings of a half share.
     """
     gram = max(1, min(64, length // 4))
     packs = write_packs(docs)
@@ -171,13 +173,14 @@ def suffix_dedup(docs: DataFrame, length: int = 400, texts: bool = True, crowded
 
     def contexts(pack: Pack, known):
         all_ = found(pack)
-        made = Contexts(pack.data, 1, all_, known, length, buckets, np.zeros(len(all_[0]), np.int64))
+        made = Contexts(pack.data, 1, all_, known, length, gram, buckets, np.zeros(len(all_[0]), np.int64))
         return made, np.bincount(made.which, minlength=len(made.rows)).astype(np.int64)
 
     known = repeated_anchors(packs, anchors, buckets, by_document=False, crowded=crowded)
     flags = exchange(packs, known, contexts, _judge(length), "counts")
 
     def finish(batches):
+        hold("packs")
         for batch in batches:
             for row in batch.to_pylist():
                 pack = Pack(row["doc_ids"], row["sizes"], row["data"])

@@ -21,7 +21,7 @@ _OTHER_RUN = re.compile(f"[{_SPACE}][ \n]")
 _PIECES = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 _ASCII_RUNS = ("  ", "\n\n", " \n", "\n ", "\x00", "\t", "\r", "\x0b", "\x0c")
 _CACHED_CHARS = 40
-_CACHED_CHUNKS = 600_000  # bounds the memory of a worker
+_CACHED = 80 << 20  # bytes of an age of the memo
 
 
 class ChunkEncoder:
@@ -35,7 +35,7 @@ class ChunkEncoder:
     def __init__(self, tokenizer_file: str, dtype: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.dtype, self.cache = Tokenizer.from_file(tokenizer_file), dtype, TwoAges(_CACHED_CHUNKS, "tokens")
+        self.tokenizer, self.dtype, self.cache = Tokenizer.from_file(tokenizer_file), dtype, TwoAges(_CACHED, "tokens")
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
 
@@ -199,6 +199,7 @@ def read_token_files(index: DataFrame) -> DataFrame:
     before it), n_tokens and ids_crc32 (of the ids as little-endian unsigned 32-bit integers)."""
 
     def read(batches):
+        hold("tokens")
         reader, opened = None, None
         for batch in batches:
             crcs = []

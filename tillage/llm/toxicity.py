@@ -15,7 +15,7 @@ from tillage.llm.common import TwoAges, hold
 
 _LONGEST = 16  # characters of a kernel string; longer words are scored in overlapping pieces
 _BORDER = float(np.log(0.3 / 0.7))  # a margin of 0 scores 0.3
-_CACHED = 200_000  # bounds the memory of a worker
+_CACHED = 24 << 20  # bytes of an age of the memo
 _STRIP = " \t\n\r\x0b\x0c.,;:!?\"'()[]{}<>«»¡¿…-–—*_#/\\"
 _JOIN = re.compile(r"(?<!\w)(?:\w[\W_]{1,2}){3,}\w(?!\w)")
 _INNER = re.compile(r"[\W_]+")
