@@ -12,13 +12,21 @@ from tillage.llm.line_dedup import line_dedup
 from tillage.llm.minhash import near_duplicates
 from tillage.llm.queries import tokenizer, toxicity_model
 from tillage.llm.toxicity import score_toxicity
-from tillage.session import fresh_path
+from tillage.session import fresh_path, materialize
+
+
+def free_name(docs: DataFrame, name: str) -> str:
+    """A column name like ``name`` that the table does not have."""
+    while name in docs.columns:
+        name += "_"
+    return name
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model rejects (a score of 0.3 or more) go."""
-    scored = score_toxicity(docs, toxicity_model(spark, sf_dir), "__score")
-    return scored.where("__score < 0.3").select(*docs.columns)
+    column = free_name(docs, "score")
+    scored = score_toxicity(docs, toxicity_model(spark, sf_dir), column)
+    return scored.where(F.col(column) < 0.3).select(*docs.columns)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,10 +35,20 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (five-word shingles, a similarity of 0.8) the document with
-    the smallest doc_id stays."""
-    gone = near_duplicates(docs, percent=80, shingle=5).where("NOT kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Of each group of near-duplicates (five-word shingles, a similarity of 0.8) one row stays: that
+    with the smallest doc_id, of equal ids the one with the smallest hash of its text. Rows are told
+    apart by doc_id and text, so other texts under the same doc_id stay."""
+    key = [free_name(docs, "row_doc"), free_name(docs, "row_text")]
+    named = docs.withColumns({key[0]: F.col("doc_id").cast("long"), key[1]: F.xxhash64(F.coalesce("text", F.lit("")))})
+    found = materialize(
+        near_duplicates(docs, percent=80, shingle=5, rows=True).where("doc_id IS NOT NULL AND n_shingles > 0")
+        .groupBy(F.col("doc_id").alias(key[0]), F.col("text_hash").alias(key[1])).agg(F.first("first").alias("stands"), F.count("*").alias("times"))
+        .where("NOT stands OR times > 1"), "pipeline-copies")
+    kept = named.join(found.select(*key), key, "left_anti")
+    repeated = found.where("stands").select(*key)  # rows that repeat one that stands for its group
+    if not repeated.isEmpty():
+        kept = kept.unionAll(named.join(repeated, key, "left_semi").dropDuplicates(key).select(*kept.columns))
+    return kept.select(*docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
