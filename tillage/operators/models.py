@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from tillage.functions import agronomy as ag
 from tillage.operators import cleaning, neighbours
+from tillage.operators.forest import ForestRegressor
 from tillage.operators.orderstats import RANK, join_on_keys, order_statistics
 from tillage.operators.profile import YIELD, existing
 from tillage.session import materialize
@@ -100,7 +101,7 @@ def regressors(trees: int = 300, depth: int = 18, rounds: int = 200, boost_depth
     common = {"labelCol": YIELD, "featuresCol": "features"}
     return {
         "Linear Regression": LinearRegression(**common),
-        "Random Forest": RandomForestRegressor(numTrees=trees, maxDepth=depth, seed=SEED, cacheNodeIds=True, **common),
+        "Random Forest": ForestRegressor(numTrees=trees, maxDepth=depth, seed=SEED, **common),
         "Gradient Boosting": GBTRegressor(maxIter=rounds, maxDepth=boost_depth, stepSize=rate, seed=SEED, cacheNodeIds=True, **common),
     }
 
