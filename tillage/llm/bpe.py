@@ -13,7 +13,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillage.llm.common import TwoAges, hold
+from tillage.llm.common import TwoAges, hold, owned, slices
 
 _END = ""  # stands for the word end inside the automaton
 _CONTROL = regex.compile("[\x1c-\x1f]")
@@ -193,7 +193,7 @@ class PrefixBPE:
         return out
 
 
-_ENCODERS: dict[str, PrefixBPE] = {}  # one per worker and file: only tables made from the file
+_ENCODERS: dict[str, PrefixBPE] = owned("bpe")  # one per worker and file: only tables made from the file
 
 
 def _encoder(tokenizer_file: str) -> PrefixBPE:
@@ -214,7 +214,7 @@ def bpe_encode(docs: DataFrame, tokenizer_file: str, text: str = "text", digests
 
     def encode(batches):
         encoder = _encoder(tokenizer_file)
-        for batch in batches:
+        for batch in slices(batches):
             counts, first, second = [], [], []
             for t in batch.column("text").to_pylist():
                 ids, decoded = encoder.encode(t)

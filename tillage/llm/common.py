@@ -33,9 +33,31 @@ def tasks(spark: SparkSession) -> int:
 
 
 _MEMOS: list = []
+_OWNED: list = []
 _SERVED: list = [None]  # the operator that this worker served last
 
 
+def owned(owner: str) -> dict:
+    """A table that a worker keeps between tasks of one operator, and drops when it serves another one."""
+    _OWNED.append((owner, {}))
+    return _OWNED[-1][1]
+
+
+def slices(batches, rows: int = 512):
+    """The batches in slices of few rows, so that a task turns only few texts into objects at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def release() -> None:
+    """Gives freed memory back to the machine."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # where the C library can do it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def _weight(x) -> int:
     return sys.getsizeof(x) + (sum(map(_weight, x)) if isinstance(x, tuple) else 0)
 
@@ -86,7 +108,7 @@ def hold(owner: str) -> None:
         if memo is not None and memo.owner != owner:
             memo.clear()
             memo.old = {}
-    gc.collect()
-    pa.default_memory_pool().release_unused()
-    with suppress(OSError, AttributeError):  # where the C library can do it
-        ctypes.CDLL(None).malloc_trim(0)
+    for other, table_ in _OWNED:
+        if other != owner:
+            table_.clear()
+    release()

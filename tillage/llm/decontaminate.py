@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillage.llm.common import hold, tasks
+from tillage.llm.common import hold, release, slices, tasks
 from tillage.llm.words import word_hashes
 from tillage.session import materialize
 
@@ -50,7 +50,7 @@ def document_frequencies(docs: DataFrame, terms: np.ndarray) -> tuple[np.ndarray
     def count(batches):
         hold("decontamination")
         seen, n = np.zeros(len(terms), np.int64), 0
-        for batch in batches:
+        for batch in slices(batches):
             texts = [t or "" for t in batch.column(0).to_pylist()]
             n += len(texts)
             for first in range(0, len(texts), 256):
@@ -259,6 +259,7 @@ def flag_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 32, ran
         block.weigh(*document_frequencies(docs, block.terms))
         table = materialize(spark.createDataFrame(block.rows(), "terms array<int>, weights array<double>").repartition(tasks(spark)), "passages")
         block.fit(randomized_svd(table, len(block.terms), rank))
+        release()
         out = _search(out, block, cosine, most, less)
     return out
 
@@ -274,7 +275,7 @@ def _search(docs: DataFrame, block: _Block, cosine: float, most: float, less: fl
         b.tables = None  # a worker holds them no longer than its task
 
     def searched(b, batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             ids, overlaps, bad = (batch.column(c).to_pylist() for c in ("item_id", "overlap", "contaminated"))
             for first in range(0, len(texts), 128):

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillage.llm.common import hold
+from tillage.llm.common import hold, slices
 from tillage.llm.components import components
 from tillage.llm.words import mix, shingle_set
 from tillage.session import materialize
@@ -36,7 +36,7 @@ def _signed(docs: DataFrame, shingle: int, coordinates: int) -> DataFrame:
 
     def run(batches):
         hold("minhash")
-        for batch in batches:
+        for batch in slices(batches):
             n, classes, items = [], [], []
             for text in batch.column("text").to_pylist():
                 grams = shingle_set(text.encode(), shingle)
@@ -63,7 +63,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def run(batches):
         hold("minhash")
-        for batch in batches:
+        for batch in slices(batches):
             keep = []
             for a, b in zip(batch.column("left").to_pylist(), batch.column("right").to_pylist()):
                 x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
@@ -159,7 +159,7 @@ def _labels(docs: DataFrame, classes: DataFrame, t: int, coordinates: int, shing
     # the sets of the posted classes, from one pass over the texts
     def grams(batches):
         hold("minhash")
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingle_set(x.encode(), shingle).tobytes() for x in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("cls"), pa.array(sets, pa.binary())], names=["cls", "grams"])
 
@@ -190,7 +190,7 @@ def _labels(docs: DataFrame, classes: DataFrame, t: int, coordinates: int, shing
 
     def unpacked(batches):
         hold("minhash")
-        for batch in batches:
+        for batch in slices(batches):
             cells = [np.frombuffer(x, np.int64) for x in batch.column("grams").to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("cls", "n", "label")), pa.array(cells, pa.list_(pa.int64()))], names=["cls", "n", "label", "grams"])
 

@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillage.llm.common import TwoAges, hold, tasks
+from tillage.llm.common import TwoAges, hold, owned, tasks
 from tillage.session import fresh_path, materialize
 
 _SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"  # Unicode's White_Space
@@ -67,7 +67,7 @@ class ChunkEncoder:
         return out
 
 
-_ENCODERS: dict[tuple, ChunkEncoder] = {}  # one per worker, file and type: only what the file implies
+_ENCODERS: dict[tuple, ChunkEncoder] = owned("tokens")  # one per worker, file and type: only what the file implies
 
 
 def _encoder(tokenizer_file: str, dtype: str) -> ChunkEncoder:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillage.llm.common import TwoAges, hold
+from tillage.llm.common import TwoAges, hold, release, slices
 
 _LONGEST = 16  # characters of a kernel string; longer words are scored in overlapping pieces
 _BORDER = float(np.log(0.3 / 0.7))  # a margin of 0 scores 0.3
@@ -230,7 +230,11 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 2000, max_
     some = rows.where("toxic = 1").orderBy(h).limit(per_class).unionAll(rows.where("toxic = 0").orderBy(h).limit(per_class))
     texts = docs.select("doc_id", "text").where((F.char_length("text") <= max_chars)).join(F.broadcast(some), "doc_id")
     got = sorted((r["doc_id"], r["text"], r["toxic"]) for r in texts.select("doc_id", "text", "toxic").collect())
-    return train([t for _, t, _ in got], [y for _, _, y in got])
+    try:
+        return train([t for _, t, _ in got], [y for _, _, y in got])
+    finally:
+        del got
+        release()
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel | None, column: str = "score") -> DataFrame:
@@ -249,7 +253,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel | None, column: str = "
     def run(batches):
         hold("toxicity")
         m = shared.value
-        for batch in batches:
+        for batch in slices(batches, 800):
             texts = [t or "" for t in batch.column("text").to_pylist()]
             scores = m.score(texts) if m else [0.0] * len(texts)
             yield pa.RecordBatch.from_arrays([pa.array(scores, pa.float64()) if n == column else batch.column(n) for n in names], names=names)
