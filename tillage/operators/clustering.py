@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -33,6 +36,12 @@ def prepared(df: DataFrame, features: list[str] | None = None) -> DataFrame:
     return assembled.select(*df.columns, "features")
 
 
+def _squares(model, cluster: str):
+    """Squared distance of a row to the centre of its cluster."""
+    centre = F.get(F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.clusterCenters()]), F.col(cluster))
+    return F.aggregate(F.zip_with(vector_to_array("features"), centre, lambda x, c: (x - c) * (x - c)), F.lit(0.0), lambda a, x: a + x)
+
+
 def k_selection(ready: DataFrame, low: int = 2, high: int = 8) -> list[tuple[int, float, float]]:
     """(k, inertia, silhouette) for each k; the rows are read from memory or disk, not recomputed."""
     vectors = ready.select("features").persist()
@@ -40,8 +49,11 @@ def k_selection(ready: DataFrame, low: int = 2, high: int = 8) -> list[tuple[int
         out = []
         for k in range(low, high + 1):
             model = KMeans(k=k, seed=SEED, featuresCol="features").fit(vectors)
-            silhouette = ClusteringEvaluator(featuresCol="features").evaluate(model.transform(vectors))
-            out.append((k, float(model.summary.trainingCost), float(silhouette)))
+            found = model.transform(vectors)
+            silhouette = ClusteringEvaluator(featuresCol="features").evaluate(found)
+            # the model's own training cost is that of the centres before the last step
+            inertia = found.agg(F.sum(_squares(model, "prediction"))).first()[0]
+            out.append((k, float(inertia), float(silhouette)))
         return out
     finally:
         vectors.unpersist()
@@ -51,6 +63,32 @@ def best_k(selection: list[tuple[int, float, float]]) -> int:
     return max(selection, key=lambda row: (row[2], -row[0]))[0]
 
 
+def misplaced(ready: DataFrame, k: int) -> DataFrame:
+    """What an independent look at a clustering finds: rows, rows without a cluster, and rows for
+    which another centre is nearer than their own. Distances are computed anew from the centres."""
+    model = KMeans(k=k, seed=SEED, featuresCol="features", predictionCol="__raw").fit(ready)
+    v = vector_to_array("features")
+    away = [sum(((v[i] - float(c)) * (v[i] - float(c)) for i, c in enumerate(centre)), F.lit(0.0)) for centre in model.clusterCenters()]
+    rows = model.transform(ready).select("__raw", F.array(*away).alias("away"))
+    own = F.get("away", F.col("__raw"))
+    return rows.agg(
+        F.count("*").alias("n"), F.count_if(F.col("__raw").isNull() | own.isNull()).alias("unassigned"),
+        F.count_if(own > F.array_min("away") + 1e-9).alias("not_nearest"))
+
+
+def inertia_gap(ready: DataFrame) -> DataFrame:
+    """Per k the inertia of ``k_selection`` against that from sums by cluster, |x|^2 - 2 x c + |c|^2, as a share."""
+    v, parts, size = vector_to_array("features"), [], len(FEATURES)
+    for k, inertia, _ in k_selection(ready):
+        model = KMeans(k=k, seed=SEED, featuresCol="features", predictionCol="__raw").fit(ready)
+        sums = model.transform(ready).groupBy("__raw").agg(
+            F.count("*").alias("n"), *[F.sum(v[i]).alias(f"s{i}") for i in range(size)], sum((F.sum(v[i] * v[i]) for i in range(size)), F.lit(0.0)).alias("squares"))
+        centre = lambda i, m=model: F.get(F.array(*[F.lit(float(c[i])) for c in m.clusterCenters()]), F.col("__raw"))
+        each = F.col("squares") + sum((F.col("n") * centre(i) * centre(i) - 2 * centre(i) * F.col(f"s{i}") for i in range(size)), F.lit(0.0))
+        parts.append(sums.agg(F.lit(k).cast("bigint").alias("k"), (F.sum(each) / max(inertia, 1e-300) - 1).alias("gap")))
+    return reduce(DataFrame.unionAll, parts)
+
+
 def assigned(ready: DataFrame, k: int) -> DataFrame:
     """Rows with their cluster, numbered by descending mean yield."""
     model = KMeans(k=k, seed=SEED, featuresCol="features", predictionCol="__raw").fit(ready)

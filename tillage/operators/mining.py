@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.ml.fpm import FPGrowth
+import math
+import sys
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +17,11 @@ from tillage.operators.orderstats import LINEAR, order_statistics
 from tillage.operators.profile import YIELD, existing, long_form
 from tillage.session import materialize
 
+# the functions of the tasks travel with the job: executors need no installed package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+BLOCK = 8192  # distinct baskets that are counted together
+
 # Bins (column, edges, labels); every interval is closed on the right.
 FIXED_BINS = {
     "temp_category": ("temperature_C", [20, 30], ["Cool", "Moderate_Temp", "Hot"]),
@@ -59,18 +70,84 @@ def transactions(df: DataFrame) -> DataFrame:
     return df.select(ag.transaction_items(existing(df, ITEM_COLUMNS)).alias("items"))
 
 
+def _packed_baskets(baskets: DataFrame, names: list[str]) -> DataFrame:
+    """Distinct baskets with their weights, BLOCK to a row: bits (one per frequent item) and weights."""
+    place, width = {x: i for i, x in enumerate(names)}, -(-len(names) // 8)
+
+    def encode(batches):
+        for b in batches:
+            items = b.column("items")
+            bits = np.zeros((b.num_rows, width * 8), bool)
+            flat = items.flatten().dictionary_encode()
+            at = np.array([place.get(x, -1) for x in flat.dictionary.to_pylist()], np.int64)
+            row = np.repeat(np.arange(b.num_rows), np.diff(items.offsets.to_numpy()))
+            held = at[flat.indices.to_numpy()] if len(row) else np.zeros(0, np.int64)
+            bits[row[held >= 0], held[held >= 0]] = True
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in np.packbits(bits, axis=1)], pa.binary())], names=["bits"])
+
+    def block(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, BLOCK):
+                part = b.slice(at, BLOCK)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([b"".join(part.column("bits").to_pylist())], pa.binary()), pa.array([part.column("w").to_numpy().astype(np.int64).tobytes()], pa.binary())], names=["bits", "w"])
+
+    known = baskets.select(F.array_compact("items").alias("items")).where(F.size("items") > 0)
+    weighted = known.mapInArrow(encode, "bits binary").groupBy("bits").agg(F.count("*").alias("w"))
+    return materialize(weighted.mapInArrow(block, "bits binary, w binary"), "baskets", spread=True)
+
+
 def frequent_itemsets(baskets: DataFrame, min_support: float = MIN_SUPPORT) -> DataFrame:
     """Itemsets with their frequency and support; the items of a set are sorted.
 
-    Parallel FP-growth: the conditional trees of the frequent items are mined task by task. The
-    sets are written once, since rules join them with themselves, and never come to the driver.
+    Equal baskets collapse to one with a weight. Sets grow by one item a level: the frequent sets of
+    a level meet the blocks of weighted baskets, which count each set together with every later
+    item; the counts are added up by set and item, and what stays frequent is the next level. Only
+    the frequent items are brought to the driver, at most the mean basket size over the support;
+    the sets stay tables. Missing items do not count, repeated ones once.
     """
+    spark = baskets.sparkSession
+    schema = "items array<string>, freq bigint, support double"
+    items = baskets.select(F.explode(F.array_distinct(F.array_compact("items"))).alias("item"))
     total = baskets.count()
     if not total:
-        return baskets.sparkSession.createDataFrame([], "items array<string>, freq bigint, support double")
-    sets = FPGrowth(itemsCol="items", minSupport=min_support).fit(baskets.select(F.array_distinct("items").alias("items"))).freqItemsets
-    found = sets.select(F.array_sort("items").alias("items"), "freq", (F.col("freq") / F.lit(total)).alias("support"))
-    return materialize(found, "itemsets")
+        return spark.createDataFrame([], schema)
+    need = math.ceil(min_support * total)
+    singles = sorted((r["item"], r["n"]) for r in items.groupBy("item").agg(F.count("*").alias("n")).where(F.col("n") >= need).collect())
+    names, width = [x for x, _ in singles], -(-len(singles) // 8)
+    if not names:
+        return spark.createDataFrame([], schema)
+    blocks = _packed_baskets(baskets, names)
+
+    def count(batches):
+        for b in batches:
+            for r in b.to_pylist():
+                bits = np.unpackbits(np.frombuffer(r["bits"], np.uint8).reshape(-1, width), axis=1)[:, : len(names)].T.astype(bool)
+                w = np.frombuffer(r["w"], np.int64)
+                weighted = (bits * w.astype(float)).T  # sums of whole numbers, exact below 2**53
+                for at in range(0, len(r["sets"]), 256):
+                    some = r["sets"][at : at + 256]
+                    inside = np.stack([bits[s].all(0) for s in some]).astype(float)
+                    n = inside @ weighted
+                    n[np.arange(len(names)) <= np.array([s[-1] for s in some])[:, None]] = 0
+                    which, item = np.nonzero(n)
+                    made = [some[i] + [j] for i, j in zip(which.tolist(), item.tolist())]
+                    yield pa.RecordBatch.from_arrays([pa.array(made, pa.list_(pa.int32())), pa.array(n[which, item].astype(np.int64))], names=["ids", "n"])
+
+    level = spark.createDataFrame([([i], n) for i, (_, n) in enumerate(singles)], "ids array<int>, n bigint")
+    found = [level]
+    for _ in range(len(names)):
+        # one row: the frequent sets of a level, a part of the result
+        sets = found[-1].agg(F.collect_list("ids").alias("sets"))
+        sums = blocks.crossJoin(F.broadcast(sets)).mapInArrow(count, "ids array<int>, n bigint").groupBy("ids").agg(F.sum("n").alias("n"))
+        level = materialize(sums.where(F.col("n") >= need), "itemsets")
+        if level.isEmpty():
+            break
+        found.append(level)
+    words = F.array(*[F.lit(x) for x in names])
+    every = reduce(DataFrame.unionAll, found)
+    return materialize(
+        every.select(F.transform("ids", lambda i: F.get(words, i)).alias("items"), F.col("n").alias("freq"), (F.col("n") / F.lit(total)).alias("support")), "itemsets")
 
 
 def association_rules(itemsets: DataFrame, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from tillage.functions import agronomy as ag
-from tillage.operators import cleaning, neighbours
+from tillage.operators import cleaning, neighbours, stats
 from tillage.operators.forest import ForestRegressor
 from tillage.operators.orderstats import RANK, join_on_keys, order_statistics
 from tillage.operators.profile import YIELD, existing
@@ -161,6 +161,20 @@ def feature_importance(model: PipelineModel, df: DataFrame, numeric: list[str],
     return df.sparkSession.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 
+def normal_equations(df: DataFrame, numeric: list[str], categorical: list[str], actual: str = YIELD, predicted: str = "prediction") -> DataFrame:
+    """What least squares leaves to be explained: per number its correlation with the error, and per
+    label the mean error of its rows over the spread of the target. All are 0 on the training rows of
+    a linear model. One pass: sums by label and one row of sums of products."""
+    error = F.col(actual) - F.col(predicted)
+    rows = df.select(*numeric, *categorical, error.alias("__error"), F.col(actual).alias("__actual"))
+    spread = F.broadcast(rows.agg(F.stddev_pop("__actual").alias("__spread")))
+    numbers = rows.agg(*[stats.pearson(c, "__error").alias(c) for c in numeric]).unpivot([], numeric, "feature", "rest")
+    numbers = numbers.select("feature", F.lit("").alias("value"), F.coalesce("rest", F.lit(0.0)).alias("rest"))
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in categorical]))
+    labels = rows.select(cells.alias("cell"), "__error").groupBy("cell").agg(F.avg("__error").alias("rest"))
+    return numbers.unionByName(labels.crossJoin(spread).select("cell.feature", "cell.value", (F.col("rest") / F.col("__spread")).alias("rest")))
+
+
 def residuals(df: DataFrame, actual: str = YIELD, predicted: str = "prediction") -> DataFrame:
     return df.withColumn("residual", F.col(actual) - F.col(predicted))
 

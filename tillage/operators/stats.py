@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from itertools import combinations
+import sys
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +15,9 @@ from tillage.operators.orderstats import LINEAR, QUARTILES, UPPER, join_on_keys,
 from tillage.operators.profile import YIELD
 from tillage.session import materialize
 
+# the functions of the tasks travel with the job: executors need no installed package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def pearson(x: str, y: str) -> Column:
     """Pearson correlation over the rows that hold both values; missing where one does not vary
@@ -20,25 +26,42 @@ def pearson(x: str, y: str) -> Column:
     return F.try_divide(F.regr_sxy(F.col(y), F.col(x)), spread)
 
 
+def gram(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Sums of products of all pairs of columns, from one pass: i, j (i < j), n, and of the rows that
+    hold both values the sums x, y, xx, yy and xy of the values less a fixed number per column.
+
+    A task adds up one small matrix per sum for all its rows; the matrices are merged by cell. The
+    fixed numbers, a row's values, keep the sums small, so little is lost to rounding.
+    """
+    numbers = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns])
+    first = numbers.agg(*[F.first(c, ignorenulls=True).alias(c) for c in columns]).first()
+    centre = np.array([v if v is not None else 0.0 for v in first])
+    size = len(columns)
+
+    def add(batches):
+        total = np.zeros((4, size, size))
+        for b in batches:
+            x = np.stack([b.column(i).to_numpy(zero_copy_only=False).astype(float) for i in range(size)], 1)
+            known = ~np.isnan(x)
+            x, held = np.where(known, x - centre, 0.0), known.astype(float)
+            total += np.stack([held.T @ held, x.T @ held, (x * x).T @ held, x.T @ x])
+        i, j = np.triu_indices(size, 1)
+        sums = [total[0][i, j], total[1][i, j], total[1][j, i], total[2][i, j], total[2][j, i], total[3][i, j]]
+        yield pa.RecordBatch.from_arrays([pa.array(v) for v in (i, j, *sums)], names=["i", "j", "n", "x", "y", "xx", "yy", "xy"])
+
+    parts = numbers.mapInArrow(add, "i bigint, j bigint, n double, x double, y double, xx double, yy double, xy double")
+    return parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
+
+
 def correlations(df: DataFrame, columns: list[str], full: bool = True) -> DataFrame:
-    """Pairwise-complete Pearson correlations of all columns, long form, from one aggregate.
+    """Pairwise-complete Pearson correlations of all columns, long form, from one pass.
 
     ``full`` gives the whole matrix, otherwise the part below the diagonal.
     """
-    pairs = list(combinations(range(len(columns)), 2))
-
-    def named(i, j):
-        return F.struct(
-            F.lit(i).cast("bigint").alias("i"),
-            F.lit(j).cast("bigint").alias("j"),
-            F.col(columns[i]).cast("double").alias("x"),
-            F.col(columns[j]).cast("double").alias("y"),
-        )
-
-    # the pairs of a row meet one small hash aggregate; as many hundred aggregates of one
-    # row would be too much code to compile. They combine within the task that read the row.
-    rows = df.select(F.inline(F.array(*[named(i, j) for i, j in pairs])))
-    found = rows.groupBy("i", "j").agg(pearson("x", "y").alias("r"))
+    n = F.col("n")
+    spread = (F.col("xx") - F.try_divide(F.col("x") * F.col("x"), n)) * (F.col("yy") - F.try_divide(F.col("y") * F.col("y"), n))
+    r = F.when(spread > 0, F.try_divide(F.col("xy") - F.try_divide(F.col("x") * F.col("y"), n), F.sqrt(spread)))
+    found = gram(df, columns).select("i", "j", r.alias("r"))
     names = F.array(*[F.lit(c) for c in columns])
 
     def cells(i, j):

@@ -21,6 +21,8 @@ from tillage.sources.binding import farm, farm_sql
 _NUMERIC = models.NUMERIC_BASE + models.NUMERIC_EXTENDED
 _LABELS = models.CATEGORICAL + models.SEASONAL
 _KEY = ["farm_id", "sensor_id"]
+# columns that a fitted pipeline adds
+_MADE = ["__num", "__scaled", "features", *[f"__ix_{c}" for c in _LABELS], *models.categorical_vectors(_LABELS)]
 
 
 def _u(columns, seed=models.SEED):
@@ -100,6 +102,58 @@ for _key, _name in (
         return models.regression_metrics(fitted[name].transform(test), name)
 
 
+# ---- fitted models, checked by what must hold of them -----------------------------------------------------
+
+_TRAIN_ROWS = f"train_rows AS (SELECT * FROM farm WHERE {_u(_KEY)} < 0.8::DOUBLE)"
+_TEST_ROWS = f"test_rows AS (SELECT * FROM farm WHERE {_u(_KEY)} >= 0.8::DOUBLE)"
+
+
+@query("l05_normal_equations", farm_sql(
+    " UNION ALL ".join([f"SELECT '{c}' AS feature, '' AS value, 0.0::DOUBLE AS rest" for c in _NUMERIC]
+                       + [f"SELECT DISTINCT '{c}', CAST({c} AS VARCHAR), 0.0::DOUBLE FROM train_rows" for c in _LABELS]), _TRAIN_ROWS))
+def _(spark, d):
+    train, _, numeric, labels = _sets(spark, d)
+    fitted = models.train(train, numeric, labels, {"Linear Regression": models.regressors()["Linear Regression"]})["Linear Regression"]
+    left = models.normal_equations(fitted.transform(train), numeric, labels)
+    return left.withColumn("rest", F.abs(F.round("rest", 3)))
+
+
+@query("l09_importance_shares", farm_sql(
+    "SELECT (" + " + ".join([f"count(DISTINCT {c})" for c in _LABELS]) + f" + {len(_NUMERIC)})::BIGINT AS features, 1.0::DOUBLE AS total, 0::BIGINT AS negative FROM train_rows", _TRAIN_ROWS))
+def _(spark, d):
+    fitted, test, numeric, labels = _trained(spark, d, "Gradient Boosting")
+    shares = models.feature_importance(fitted["Gradient Boosting"], test, numeric, labels)
+    return shares.agg(F.count("*").alias("features"), F.round(F.sum("importance"), 6).alias("total"), F.count_if(F.col("importance") < 0).alias("negative"))
+
+
+@query("l11_scores_by_hand", farm_sql("SELECT count(*)::BIGINT AS n, 0::BIGINT AS different FROM test_rows", _TEST_ROWS))
+def _(spark, d):
+    fitted, test, _, _ = _trained(spark, d, "Linear Regression")
+    final = fitted["Linear Regression"].stages[-1]
+    weights = F.array(*[F.lit(float(w)) for w in final.coefficients.toArray()])
+    by_hand = F.aggregate(F.zip_with(vector_to_array("features"), weights, lambda x, w: x * w), F.lit(float(final.intercept)), lambda a, x: a + x)
+    scored = fitted["Linear Regression"].transform(test)
+    return scored.agg(F.count("*").alias("n"), F.count_if(F.abs(F.col("prediction") - by_hand) > 1e-6 * F.greatest(F.abs(by_hand), F.lit(1.0))).alias("different"))
+
+
+@query("l12_model_cascade_counts", farm_sql("SELECT 'ML Model' AS model_used, count(*)::BIGINT AS n FROM test_rows", _TEST_ROWS))
+def _(spark, d):
+    fitted, test, _, _ = _trained(spark, d, "Linear Regression")
+    fresh = models.with_model_inputs(test.drop("heat_stress", "drought_stress", "growing_conditions_score"))
+    out = models.score_cascade(fresh, test.agg(F.avg(Y)), fitted["Linear Regression"])
+    return out.groupBy("model_used").agg(F.count("*").alias("n"))
+
+
+@query("s18_saved_equals_fitted", farm_sql("SELECT count(*)::BIGINT AS n, 0::BIGINT AS different FROM test_rows", _TEST_ROWS))
+def _(spark, d):
+    fitted, test, _, _ = _trained(spark, d, "Linear Regression")
+    path = fresh_path(spark, "model")
+    fitted["Linear Regression"].write().overwrite().save(path)
+    once = fitted["Linear Regression"].transform(test).withColumnRenamed("prediction", "__fitted").drop(*_MADE)
+    again = PipelineModel.load(path).transform(once)
+    return again.agg(F.count("*").alias("n"), F.count_if(~F.col("prediction").eqNullSafe(F.col("__fitted"))).alias("different"))
+
+
 @query("l08_regression_metrics", farm_sql(
     f"""SELECT 'Rule Score' AS "Model", round(1 - sse / sst, 3) AS "R2", round(sqrt(sse / n), 3) AS "RMSE", round(sae / n, 3) AS "MAE" FROM (
     SELECT sum(power({Y} - p, 2)) AS sse, sum(abs({Y} - p)) AS sae, count(*) AS n, var_pop({Y}) * count(*) AS sst FROM (SELECT {Y}, {RULE_SQL} AS p FROM farm))"""))
@@ -350,6 +404,34 @@ def _(spark, d):
     return pr.rounded(spark.createDataFrame(rows, "k bigint, inertia double, silhouette double"))
 
 
+@query("k02_inertia_by_hand", "SELECT k::BIGINT AS k, 0.0::DOUBLE AS gap FROM range(2, 9) t(k)")
+def _(spark, d):
+    return clustering.inertia_gap(_ready(spark, d)).withColumn("gap", F.abs(F.round("gap", 6)))
+
+
+@query("k03_nearest_centre", farm_sql("SELECT count(*)::BIGINT AS n, 0::BIGINT AS unassigned, 0::BIGINT AS not_nearest FROM farm"))
+def _(spark, d):
+    ready = _ready(spark, d)
+    return clustering.misplaced(ready, clustering.best_k(clustering.k_selection(ready)))
+
+
+@query("k04_centres_balance", farm_sql(
+    " UNION ALL ".join(f"""SELECT '{c}' AS feature, round(avg("{c}"), 4) AS mean FROM farm""" for c in clustering.FEATURES)))
+def _(spark, d):
+    rows = clustered(spark, d)
+    both = clustering.centres(rows).join(rows.groupBy("cluster").agg(F.count("*").alias("members")), "cluster")
+    # centres weighted by their members give the means of all rows
+    one = both.agg(*[(F.sum(F.col(c) * F.col("members")) / F.sum("members")).alias(c) for c in clustering.FEATURES])
+    return pr.rounded(one.unpivot([], clustering.FEATURES, "feature", "mean"))
+
+
+@query("k06_sizes_balance", farm_sql(f"SELECT count(*)::BIGINT AS n, round(avg({Y}), 4) AS overall, 0::BIGINT AS wrong_flags FROM farm"))
+def _(spark, d):
+    sizes = clustering.sizes(clustered(spark, d))
+    wrong = F.count_if(F.col("above_mean") != (F.col("avg_yield") > F.col("overall")))
+    return pr.rounded(sizes.agg(F.sum("n").alias("n"), (F.sum(F.col("n") * F.col("avg_yield")) / F.sum("n")).alias("overall"), wrong.alias("wrong_flags")))
+
+
 @query("k03_assignment")
 def _(spark, d):
     return clustered(spark, d).select("farm_id", F.col("cluster").cast("bigint").alias("cluster"))
@@ -431,6 +513,14 @@ def _(spark, d):
     return back.groupBy("cluster").agg(F.count("*").alias("n"), F.round(F.avg(Y), 4).alias("avg_yield"))
 
 
+@query("s16_export_complete", farm_sql(f"SELECT count(*)::BIGINT AS n, round(avg({Y}), 2) AS avg_yield, 0::BIGINT AS without_cluster FROM farm"))
+def _(spark, d):
+    out = clustered(spark, d)
+    path = files.write_csv(out, fresh_path(spark, "clustered-csv"))
+    back = spark.read.schema(out.schema).option("header", True).csv(path)
+    return back.agg(F.count("*").alias("n"), F.round(F.avg(Y), 2).alias("avg_yield"), F.count_if(F.col("cluster").isNull()).alias("without_cluster"))
+
+
 @query("s17_model_tables_export")
 def _(spark, d):
     fitted, test, numeric, labels = _trained(spark, d, "Linear Regression", "Random Forest", "Gradient Boosting")
