@@ -186,14 +186,21 @@ def summary(results: DataFrame, name: str = "dataset") -> DataFrame:
     )
 
 
-def type_mismatches(df: DataFrame, declared: dict | None = None) -> DataFrame:
-    """Declared columns that are absent or of another type, as warnings."""
-    actual = dict(df.dtypes)
-    rows = [
-        (f"type_{c}", actual.get(c) == t, f"{c} is {actual.get(c, 'absent')}, expected {t}", "warning")
-        for c, t in (declared or DECLARED_TYPES).items()
-    ]
-    return df.sparkSession.createDataFrame(rows, "check string, passed boolean, message string, severity string")
+def conformance(text: DataFrame, declared: dict | None = None, corrupt: str | None = None) -> DataFrame:
+    """How the texts of a stored table convert to the declared types: a check per column, with the
+    count of values that do not, and one for records that the reader could not split. One aggregate."""
+    declared = declared or DECLARED_TYPES
+    counts = {c: F.count_if(F.col(c).isNotNull() & F.expr(f"try_cast(`{c}` AS {t})").isNull()) for c, t in declared.items() if c in text.columns}
+    broken = F.count_if(F.col(corrupt).isNotNull()) if corrupt else F.lit(0).cast("bigint")
+    one = text.agg(*[e.alias(c) for c, e in counts.items()], broken.alias("__broken"))
+    rows = [_check("corrupt_records", F.col("__broken") == 0, _say("All records can be read", F.col("__broken"), " corrupt records"))]
+    for c, t in declared.items():
+        if c in counts:
+            k = F.col(c)
+            rows.append(_check(f"type_{c}", k == 0, _say(f"{c} converts to {t}", k, f" values of {c} do not convert to {t}"), "warning"))
+        else:
+            rows.append(_check(f"type_{c}", F.lit(False), F.lit(f"{c} is absent, expected {t}"), "warning"))
+    return one.select(F.inline(F.array(*rows)))
 
 
 def source_kpis(df: DataFrame) -> DataFrame:

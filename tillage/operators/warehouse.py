@@ -155,6 +155,29 @@ def fact_prices(prices: DataFrame, rice: DataFrame, time: DataFrame, typed: bool
     return keyed.select("time_id", F.col("date").alias("price_date"), *named)
 
 
+def split_overflow(df: DataFrame, types: dict[str, str]) -> tuple[DataFrame, DataFrame]:
+    """The rows cast to the declared types, and the quarantine: the untouched rows of which a value
+    does not fit its type, with the names of these columns. Missing values fit every type."""
+    known = {c: F.expr(f"try_cast(`{c}` AS {t})") for c, t in types.items() if c in df.columns}
+    lost = F.array_compact(F.array(*[F.when(F.col(c).isNotNull() & e.isNull(), F.lit(c)) for c, e in known.items()]))
+    marked = df.withColumn("overflowed", lost)
+    good = marked.where(F.size("overflowed") == 0).select(*[known.get(c, F.col(c)).alias(c) for c in df.columns])
+    return good, marked.where(F.size("overflowed") > 0)
+
+
+def typed_production(df: DataFrame, dims: dict[str, DataFrame], stamp: str, types: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """The production fact as declared: decimals, ids 1, 2, ... in farm order, the time of the load; and its quarantine."""
+    good, bad = split_overflow(fact_production(df, dims), types or PRODUCTION_TYPES)
+    order = [c for c in ("farm_id", "sensor_id") if c in good.columns]
+    return numbered(good, "production_id", *order).withColumn("created_at", F.lit(stamp).cast("timestamp")), bad
+
+
+def typed_prices(prices: DataFrame, stamp: str) -> tuple[DataFrame, DataFrame]:
+    """The price fact as declared, in the order of its days; and its quarantine."""
+    good, bad = split_overflow(prices, dict.fromkeys(PRICE_COLUMNS.values(), PRICE_TYPE))
+    return numbered(good, "price_id", "price_date").withColumn("created_at", F.lit(stamp).cast("timestamp")), bad
+
+
 def extend_time(time: DataFrame, prices: DataFrame) -> DataFrame:
     """Price days not yet in the time dimension come after the farm days."""
     dates = prices.select(F.col("date").alias("full_date")).where(F.col("date").isNotNull())
@@ -283,6 +306,50 @@ def orphan_count(fact: DataFrame, key: str, dim: DataFrame, id_column: str) -> D
     return lost.agg(F.lit(key).alias("key"), F.coalesce(F.sum("c"), F.lit(0)).cast("bigint").alias("orphans"))
 
 
+# The constraints of the star schema (table, kind, column, referenced table and column).
+CONSTRAINTS = [
+    ("crop", "unique", "crop_type"), ("region", "unique", "region_name"), ("irrigation", "unique", "irrigation_type"),
+    ("disease", "unique", "disease_status"), ("time", "unique", "full_date"),
+    ("crop", "not_null", "crop_type"), ("region", "not_null", "region_name"), ("irrigation", "not_null", "irrigation_type"),
+    ("disease", "not_null", "disease_status"), ("time", "not_null", "full_date"), ("production", "not_null", "farm_id"), ("prices", "not_null", "price_date"),
+    ("production", "foreign_key", "crop_id", "crop", "crop_id"), ("production", "foreign_key", "region_id", "region", "region_id"),
+    ("production", "foreign_key", "irrigation_id", "irrigation", "irrigation_id"), ("production", "foreign_key", "disease_id", "disease", "disease_id"),
+    ("production", "foreign_key", "sowing_time_id", "time", "time_id"), ("production", "foreign_key", "harvest_time_id", "time", "time_id"),
+    ("prices", "foreign_key", "time_id", "time", "time_id"),
+]
+
+
+def constraint_report(tables: dict[str, DataFrame], declared: list[tuple] | None = None) -> DataFrame:
+    """table, kind, column and violations of every declared constraint over stored tables.
+
+    ``unique`` counts the rows beyond the first of a key, ``foreign_key`` the rows whose key has no
+    member. A table is read once: its rows collapse to one count per constraint and value, with
+    missing values and the mere presence of a row where the value does not matter.
+    """
+    declared, out = declared or CONSTRAINTS, None
+    for name in dict.fromkeys(c[0] for c in declared):
+        mine = [c for c in declared if c[0] == name]
+        cells = []
+        for i, c in enumerate(mine):
+            value = F.col(c[2]).cast("string")
+            # a present value of a column that must only be present is of no interest
+            cells.append(F.struct(F.lit(i).alias("i"), value.isNull().alias("missing"), (F.lit(None).cast("string") if c[1] == "not_null" else value).alias("value")))
+        counts = tables[name].select(F.explode(F.array(*cells)).alias("c")).groupBy("c.i", "c.missing", "c.value").agg(F.count("*").alias("n"))
+        counts = materialize(counts, f"constraints-{name}")
+        for i, c in enumerate(mine):
+            seen = counts.where(F.col("i") == i)
+            if c[1] == "not_null":
+                bad = seen.agg(F.sum(F.when(F.col("missing"), F.col("n"))).alias("k"))
+            elif c[1] == "unique":
+                bad = seen.where("NOT missing").agg(F.sum(F.col("n") - 1).alias("k"))
+            else:
+                known = tables[c[3]].select(F.col(c[4]).cast("string").alias("value")).distinct()
+                bad = seen.where("NOT missing").join(known, "value", "left_anti").agg(F.sum("n").alias("k"))
+            one = bad.select(F.lit(name).alias("table"), F.lit(c[1]).alias("kind"), F.lit(c[2]).alias("column"), F.coalesce("k", F.lit(0)).cast("bigint").alias("violations"))
+            out = one if out is None else out.unionByName(one)
+    return out
+
+
 def numbered(df: DataFrame, id_column: str, *order: str) -> DataFrame:
     """``df`` with ids 1, 2, ... in the order of the given columns: unique for equal rows too.
 

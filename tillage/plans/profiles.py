@@ -538,6 +538,18 @@ def _(spark, d):
     return pr.rounded(out.withColumns({"min": F.round("min", 6), "max": F.round("max", 6)}), 4, "min", "max")
 
 
+_ALL_NUMBERS = [Y, *NUMBERS, "latitude", "longitude", "yield_per_day", "water_efficiency", "pesticide_efficiency", "heat_stress", "drought_stress", "growing_conditions_score"]
+
+
+@query("a38_describe_all", farm_sql(
+    """SELECT variable, count(value) AS n, round(avg(value), 4) AS mean, round(stddev_samp(value), 4) AS std,
+    round(min(value), 4) AS min, round(max(value), 4) AS max, round(quantile_cont(value, 0.25), 4) AS q1,
+    round(quantile_cont(value, 0.5), 4) AS median, round(quantile_cont(value, 0.75), 4) AS q3
+    FROM long GROUP BY variable""", stacked_sql(_ALL_NUMBERS)))
+def _(spark, d):
+    return pr.rounded(pr.describe(farm(spark, d, *_ALL_NUMBERS), _ALL_NUMBERS), 4)
+
+
 @query("a39_categorical_counts", farm_sql(
     "SELECT variable, value, count(*) AS n FROM long GROUP BY variable, value",
     stacked_sql([*CATEGORIES, "sowing_season"], "VARCHAR")))

@@ -49,6 +49,9 @@ _INTERPOLATED = """SELECT a.variable, strftime(a."date", '%Y-%m-%d') AS day, rou
   LEFT JOIN pos l ON l.variable = a.variable AND l.p = (SELECT max(p) FROM pos x WHERE x.variable = a.variable AND x.p <= a.p AND x.value IS NOT NULL)
   LEFT JOIN pos r ON r.variable = a.variable AND r.p = (SELECT min(p) FROM pos x WHERE x.variable = a.variable AND x.p >= a.p AND x.value IS NOT NULL)"""
 
+# all days with their interpolated price, unrounded
+FILLED_SQL = (_LONG, _POS, "filled AS (" + _INTERPOLATED.replace("strftime(a.\"date\", '%Y-%m-%d') AS day, round(", 'a."date", ').replace("r.value), 4) AS value", "r.value) AS value") + ")")
+
 
 def _series(spark, d):
     return pr.long_form(commodity_prices(spark, d), COMMODITIES, ["date"])
@@ -385,6 +388,36 @@ def _(spark, d):
     return pr.rounded(as_plain(out.select(*cols)), 6)
 
 
+_ALL_DEFAULTS = ", ".join(
+    f"""CAST(coalesce({f'"{c}"' if c in ("temperature_C", "rainfall_mm", "irrigation_type", "fertilizer_type") else 'NULL'}, {repr(v)}) AS {"VARCHAR" if isinstance(v, str) else "DOUBLE"}) AS "{c}\""""
+    for c, v in ag.INPUT_DEFAULTS.items())
+
+
+@query("t32_all_defaults", farm_sql(f"SELECT farm_id, {_ALL_DEFAULTS} FROM gaps", GAP_SQL))
+def _(spark, d):
+    out = ag.with_input_defaults(with_gaps(spark, d))
+    return out.select("farm_id", *[F.col(c).cast("string" if isinstance(v, str) else "double").alias(c) for c, v in ag.INPUT_DEFAULTS.items()])
+
+
+# the texts as the operator's fixed values have them, by the condition that asks for each
+_TEXTS = """list_filter([
+  CASE WHEN soil_moisture_pct < 30 THEN 'Soil moisture is very low. Increase irrigation. [+15-20%]' WHEN soil_moisture_pct > 70 THEN 'Soil moisture is very high. Improve drainage. [+5-10%]' END,
+  CASE WHEN "soil_pH" < 6 THEN 'Soil pH is acidic. Consider adding lime. [+10-15%]' WHEN "soil_pH" > 7.5::DOUBLE THEN 'Soil pH is alkaline. Consider adding sulfur. [+10-15%]' END,
+  CASE WHEN crop_disease_status <> 'No Disease' THEN 'Crop disease detected (' || crop_disease_status || '). Apply appropriate treatment. [+20-30%]' END,
+  CASE WHEN "NDVI_index" < 0.4::DOUBLE THEN 'Low vegetation health (NDVI). Check nutrient levels. [+10-15%]' END,
+  CASE WHEN irrigation_type IN ('No Irrigation', 'Flood') THEN 'Consider upgrading to drip or sprinkler irrigation for better efficiency. [+10-20%]' END], lambda x: x IS NOT NULL)"""
+
+
+@query("t31_recommendation_texts", farm_sql(
+    f"SELECT farm_id, array_to_string(s[1:5], ' ') AS specific, CAST(greatest(3 - len(s), 0) AS BIGINT) AS general FROM (SELECT farm_id, {_TEXTS} AS s FROM farm)"))
+def _(spark, d):
+    df = farm(spark, d, "farm_id", "soil_moisture_pct", "soil_pH", "crop_disease_status", "NDVI_index", "irrigation_type")
+    df = df.select("farm_id", ag.recommendations().alias("r"))
+    is_general = lambda x: x["category"].isin("Fertilization", "Crop Rotation", "Pest Management")
+    specific = F.transform(F.filter("r", lambda x: ~is_general(x)), lambda x: F.concat(x["message"], F.lit(" ["), x["expected_impact"], F.lit("]")))
+    return df.select("farm_id", F.array_join(specific, " ").alias("specific"), F.size(F.filter("r", is_general)).cast("bigint").alias("general"))
+
+
 @query("t33_synthetic_risk", farm_sql(
     """SELECT farm_id, CASE WHEN humidity_pct > 70 OR "temperature_C" > 28 THEN 'Medium' ELSE 'Low' END AS disease_risk FROM farm"""))
 def _(spark, d):

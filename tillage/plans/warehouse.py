@@ -10,7 +10,7 @@ from tillage.operators import profile as pr
 from tillage.operators import warehouse as wh
 from tillage.plans.profiles import AVERAGE_SQL, CATEGORIES, SUMMARY, _UPPER_SQL, stacked_sql
 from tillage.plans.registry import Y, query
-from tillage.plans.rows import GAP_SQL, PRICE_SQL, as_plain, by_day, whole_frame, whole_sql, with_gaps
+from tillage.plans.rows import FILLED_SQL, GAP_SQL, PRICE_SQL, as_plain, by_day, whole_frame, whole_sql, with_gaps
 from tillage.session import fresh_path, materialize
 from tillage.sources import files
 from tillage.sources.binding import (
@@ -412,14 +412,101 @@ def _(spark, d):
     return quality.source_kpis(farm(spark, d, *FARM_COLUMNS)).withColumn("is_valid", F.col("row_count") > 0)
 
 
+# values that do not convert, put into the stored file by a fixed rule
+_DIRTY = {
+    "soil_pH": ("total_days % 5 = 0", "'n/a'"), "rainfall_mm": ("total_days % 7 = 0", "'12,5'"), "humidity_pct": ("total_days % 3 = 0", "'--'"),
+    "sowing_date": ("total_days % 4 = 0", "'2023-13-45'"), "harvest_date": ("total_days % 6 = 0", "'soon'"),
+}
+_TYPED = {**quality.DECLARED_TYPES, "sowing_date": "date", "harvest_date": "date"}
+
+
+def _dirty_texts(spark, d):
+    """The farm table as a file of texts with the dirty values, read as texts."""
+    columns = list(_TYPED)
+    df = farm(spark, d, *columns, *([] if "total_days" in columns else ["total_days"]))
+    dirty = df.select(*[F.expr(f"CASE WHEN {_DIRTY[c][0]} THEN {_DIRTY[c][1]} ELSE CAST(`{c}` AS STRING) END").alias(c) if c in _DIRTY else F.col(c).cast("string").alias(c) for c in columns])
+    return files.read_text_columns(spark, files.write_csv(dirty, fresh_path(spark, "farm-text")), columns)
+
+
 @query("v16_declared_types", farm_sql(
-    " UNION ALL ".join(
-        f"""SELECT 'type_{c}' AS "check", {str(not c == "soil_pH").lower()} AS passed,
-        '{c} is {"string" if c == "soil_pH" else t}, expected {t}' AS message, 'warning' AS severity FROM (SELECT count(*) FROM farm)"""
-        for c, t in quality.DECLARED_TYPES.items())))
+    """SELECT 'corrupt_records' AS "check", true AS passed, 'All records can be read' AS message, 'error' AS severity UNION ALL """
+    + " UNION ALL ".join(
+        f"""SELECT 'type_{c}', k = 0, CASE WHEN k = 0 THEN '{c} converts to {t}' ELSE CAST(k AS VARCHAR) || ' values of {c} do not convert to {t}' END, 'warning'
+        FROM (SELECT count(*) FILTER ({_DIRTY[c][0] if c in _DIRTY else 'false'}) AS k FROM farm)""" for c, t in _TYPED.items())))
+def _(spark, d):
+    return quality.conformance(_dirty_texts(spark, d), _TYPED, "corrupt_record")
+
+
+@query("v07_dirty_dates", farm_sql(" UNION ALL ".join(
+    f"""SELECT 'valid_date_{c}' AS "check", k = 0 AS passed, CASE WHEN k = 0 THEN '{c} dates are valid' ELSE CAST(k AS VARCHAR) || ' invalid dates in {c}' END AS message,
+    'error' AS severity FROM (SELECT count(*) FILTER ({_DIRTY[c][0]}) AS k FROM farm)""" for c in quality.DATES)))
+def _(spark, d):
+    return quality.validate(_dirty_texts(spark, d).select(*quality.DATES), "farms", only="valid_date_")
+
+
+# ---- the stored star schema ---------------------------------------------------------------------------------------
+
+
+def _stored_star(spark, d):
+    """The star schema as stored, with rows that break its constraints by fixed rules."""
+    t = tables(spark, d, prices=True)
+    t["crop"] = t["crop"].unionByName(t["crop"].where("crop_id <= 2"))
+    t["time"] = t["time"].unionByName(t["time"].where("time_id <= 3"))
+    t["prices"] = t["prices"].withColumn("price_date", F.when(F.col("time_id") % 5 != 0, F.col("price_date")))
+    days = F.col("total_days")
+    t["production"] = t["production"].withColumns(
+        {"farm_id": F.when(days % 7 != 0, F.col("farm_id")), "crop_id": F.when(days % 11 == 0, F.col("crop_id") + 1000).otherwise(F.col("crop_id"))})
+    return {name: materialize(df, f"star-{name}") for name, df in t.items()}
+
+
+_BROKEN = {
+    ("crop", "unique", "crop_type"): "SELECT least(2, count(*)) FROM dim_crop", ("time", "unique", "full_date"): "SELECT count(*) FROM dim_time WHERE time_id <= 3",
+    ("production", "not_null", "farm_id"): "SELECT count(*) FROM farm WHERE total_days % 7 = 0",
+    ("prices", "not_null", "price_date"): """SELECT count(*) FROM commodity JOIN dim_time ON full_date = "date" WHERE time_id % 5 = 0""",
+    ("production", "foreign_key", "crop_id"): "SELECT count(*) FROM farm WHERE total_days % 11 = 0",
+}
+
+
+def _constraints(key, kind):
+    mine = [c for c in wh.CONSTRAINTS if c[1] == kind]
+    sql = " UNION ALL ".join(
+        f"""SELECT '{c[0]}' AS "table", '{c[1]}' AS kind, '{c[2]}' AS "column", CAST(({_BROKEN.get(c[:3], "SELECT 0")}) AS BIGINT) AS violations""" for c in mine)
+    query(key, star_sql(sql))(lambda spark, d: wh.constraint_report(_stored_star(spark, d), mine))
+
+
+_constraints("v12_stored_keys", "unique")
+_constraints("v13_stored_references", "foreign_key")
+_constraints("v14_stored_not_null", "not_null")
+
+_STAMP = "2024-01-01 06:00:00"
+_NARROW = {**wh.PRODUCTION_TYPES, Y: "decimal(6,2)"}  # some yields do not fit
+
+
+@query("e05_typed_load", star_sql(
+    f"""SELECT CASE WHEN round(abs({Y}), 2) < 10000 THEN 'loaded' ELSE 'quarantined' END AS target, count(*)::BIGINT AS n, round(sum(round({Y}, 2)), 0) AS total,
+    sum(total_days)::BIGINT AS days, CASE WHEN round(abs({Y}), 2) < 10000 THEN count(*) ELSE 0 END::BIGINT AS ids FROM farm GROUP BY round(abs({Y}), 2) < 10000"""))
+def _(spark, d):
+    t = tables(spark, d, prices=True)
+    good, bad = wh.typed_production(priced_farm(spark, d, *_FACT, price_digits=6), t, _STAMP, _NARROW)
+    total = F.round(F.sum(F.round(F.col(Y).cast("double"), 2)), 0).alias("total")
+    one = good.agg(F.lit("loaded").alias("target"), F.count("*").alias("n"), total, F.sum("total_days").cast("bigint").alias("days"), F.count_distinct("production_id").alias("ids"))
+    two = bad.agg(F.lit("quarantined").alias("target"), F.count("*").alias("n"), total, F.sum("total_days").cast("bigint").alias("days"), F.lit(0).cast("bigint").alias("ids"))
+    return one.unionByName(two).where("n > 0")
+
+
+_PER_KG = ", ".join(
+    f"round({c.lower()} / 100 * 0.92::DOUBLE / {k}::DOUBLE, 4) AS {wh.PRICE_COLUMNS[f'{c}_EUR_PER_KG']}" for c, k in ag.KG_PER_UNIT.items() if c in COMMODITIES)
+
+
+@query("e06_typed_prices", star_sql(
+    f"""SELECT row_number() OVER (ORDER BY full_date) AS price_id, time_id, strftime(full_date, '%Y-%m-%d') AS price_date, {_PER_KG},
+    round(0.45::DOUBLE * (1 + 0.1::DOUBLE * sin(2 * pi() * dayofyear(full_date) / 365)), 4) AS rice_eur_per_kg, '{_STAMP}' AS created_at
+    FROM (SELECT "date" AS full_date, {", ".join(f"max(value) FILTER (variable = '{c}') AS {c.lower()}" for c in COMMODITIES)} FROM filled GROUP BY "date") JOIN dim_time USING (full_date)""",
+    *FILLED_SQL))
 def _(spark, d):
-    df = farm(spark, d, *FARM_COLUMNS).withColumn("soil_pH", F.col("soil_pH").cast("string"))
-    return quality.type_mismatches(df)
+    good, _ = wh.typed_prices(tables(spark, d, prices=True)["prices"], _STAMP)
+    prices = [F.col(c).cast("double").alias(c) for c in wh.PRICE_COLUMNS.values()]
+    return as_plain(good.select("price_id", "time_id", "price_date", *prices, F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("created_at")))
 
 
 # ---- sources and sinks ----------------------------------------------------------------------------------------------

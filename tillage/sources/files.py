@@ -87,6 +87,12 @@ def read_product_prices(spark: SparkSession, path: str) -> DataFrame:
     return _reader(spark, _schema(PRODUCT_FILE)).csv(path)
 
 
+def read_text_columns(spark: SparkSession, path: str, columns: list[str], corrupt: str = "corrupt_record") -> DataFrame:
+    """A file as it stands: every column as text, and the whole line of a record with too few or too many."""
+    schema = _schema([*((c, _S) for c in columns), (corrupt, _S)])
+    return _reader(spark, schema).option("enforceSchema", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt).csv(path)
+
+
 # ---- sinks -----------------------------------------------------------------------------------------------
 
 
