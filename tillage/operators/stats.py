@@ -35,7 +35,7 @@ def gram(df: DataFrame, columns: list[str]) -> DataFrame:
     """
     numbers = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns])
     first = numbers.agg(*[F.first(c, ignorenulls=True).alias(c) for c in columns]).first()
-    centre = np.array([v if v is not None else 0.0 for v in first])
+    centre = np.array([v or 0.0 for v in first], float)
     size = len(columns)
 
     def add(batches):
@@ -61,7 +61,9 @@ def correlations(df: DataFrame, columns: list[str], full: bool = True) -> DataFr
     n = F.col("n")
     spread = (F.col("xx") - F.try_divide(F.col("x") * F.col("x"), n)) * (F.col("yy") - F.try_divide(F.col("y") * F.col("y"), n))
     r = F.when(spread > 0, F.try_divide(F.col("xy") - F.try_divide(F.col("x") * F.col("y"), n), F.sqrt(spread)))
-    found = gram(df, columns).select("i", "j", r.alias("r"))
+    # every pair has a row, also where no row holds both values
+    pairs = df.sparkSession.createDataFrame([(i, j) for j in range(len(columns)) for i in range(j)], "i bigint, j bigint")
+    found = pairs.join(gram(df, columns), ["i", "j"], "left").select("i", "j", r.alias("r"))
     names = F.array(*[F.lit(c) for c in columns])
 
     def cells(i, j):
