@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from tillage.sources import snapshots
 from tillage.operators.cleaning import fill_lenient
 
 _D, _S, _I = T.DoubleType(), T.StringType(), T.IntegerType()
@@ -108,10 +109,11 @@ def farm_file_columns(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(_plain(n)).alias(n) for n, _ in FARM_FILE if _plain(n) in df.columns])
 
 
-def full_refresh(df: DataFrame, path: str) -> str:
-    """Replace the rows of a table as a whole."""
-    df.write.mode("overwrite").parquet(path)
-    return path
+def full_refresh(df: DataFrame, path: str, load_id: str | None = None) -> DataFrame:
+    """Replace the rows of a table as a whole and read them back; until the new ones are complete, and
+    if they never are, the old ones stay."""
+    snapshots.load(df, path, load_id)
+    return snapshots.current(df.sparkSession, path, df.schema)
 
 
 # Headers of the explorer exports.
@@ -145,14 +147,24 @@ def summary_export(summary: DataFrame) -> DataFrame:
     )
 
 
+AUDIT = "timestamp string, status string, dag_id string, execution_date string, rows_processed bigint, model_retrained boolean, model_path string, run_id string"
+
+
 def append_audit(spark: SparkSession, path: str, **fields) -> str:
-    """Append one run record as a JSON line."""
-    schema = "timestamp string, status string, dag_id string, execution_date string, rows_processed bigint, model_retrained boolean, model_path string"
-    row = {n: fields.get(n) for n in [f.split()[0] for f in schema.split(", ")]}
-    spark.createDataFrame([row], schema).coalesce(1).write.mode("append").json(path)
+    """Append one run record as a JSON line. With a ``run_id``, ``read_audit`` counts a record once
+    that a retried run has appended twice."""
+    row = {n: fields.get(n) for n in [f.split()[0] for f in AUDIT.split(", ")]}
+    spark.createDataFrame([row], AUDIT).coalesce(1).write.mode("append").json(path)
     return path
 
 
+def read_audit(spark: SparkSession, path: str) -> DataFrame:
+    """The run records: of those with one ``run_id`` the first in order, and all without."""
+    rows = spark.read.schema(AUDIT).json(path)
+    named = rows.where(F.col("run_id").isNotNull()).groupBy("run_id").agg(F.min(F.struct(*rows.columns)).alias("r")).select("r.*")
+    return rows.where(F.col("run_id").isNull()).unionByName(named)
+
+
 def with_lineage(df: DataFrame, by: str) -> DataFrame:
     """Processing stamp, and the two basic metrics where they are not there yet."""
     from tillage.functions import agronomy as ag
