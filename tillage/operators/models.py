@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
@@ -369,25 +371,43 @@ def classification_report(df: DataFrame, actual: str = "actual", predicted: str
 # ---- similar farms ----------------------------------------------------------------------------------------------------
 
 
-def similar_farms(queries: DataFrame, farms: DataFrame, key: str, tag: str, k: int = 5) -> DataFrame | None:
+def similar_farms(queries: DataFrame, farms: DataFrame, key: str, tag: str, k: int = 5, attributes: list[str] | None = None) -> DataFrame | None:
     """The k nearest farms of each query on the standardised features both tables have.
 
-    The farthest of the k scores 0; when all are at distance 0 they score 1. With fewer than
-    three common features there is no answer.
+    A query with gaps is compared on the features it has, with farms that have them all; queries
+    with fewer than three features have no answer, and without three common columns there is none at all.
+    The farthest of the k scores 0; when all are at distance 0 they score 1. With ``attributes``
+    each farm comes with these columns (named ``farm_*``) and the number of features that were used.
     """
     features = [f for f in SIMILARITY_FEATURES if f in queries.columns and f in farms.columns]
     if len(features) < 3:
         return None
     scale = neighbours.scale_row(farms, features)
-    found = neighbours.nearest(
-        neighbours.standardised(queries, scale, features),
-        neighbours.standardised(farms.withColumn("__any", F.lit("farm")), scale, features),
-        features, k, key, "__any", tag=tag,
-    )
-    found = found.where(F.col("rank") <= k)
+    known = [F.when(F.col(f).isNotNull() & ~F.isnan(F.col(f).cast("double")), 1 << i).otherwise(0) for i, f in enumerate(features)]
+    masked = queries.withColumn("__mask", reduce(lambda a, b: a + b, known))
+    out = None
+    # which features are missing: at most 2 ** 8 kinds of queries, in practice a few
+    for (mask,) in sorted(masked.select("__mask").distinct().collect()):
+        used = [f for i, f in enumerate(features) if mask >> i & 1]
+        if len(used) < 3:
+            continue
+        whole = farms.dropna(subset=used).withColumn("__any", F.lit("farm"))
+        found = neighbours.nearest(
+            neighbours.standardised(masked.where(F.col("__mask") == mask).select(key, *used), scale, used),
+            neighbours.standardised(whole, scale, used), used, k, key, "__any", tag=tag,
+        ).withColumn("features_used", F.lit(len(used)).cast("bigint"))
+        out = found if out is None else out.unionByName(found)
+    if out is None:
+        out = queries.limit(0).select(F.col(key)).withColumns({tag: F.lit(""), "rank": F.lit(0), "distance": F.lit(0.0), "features_used": F.lit(0).cast("bigint")})
+    found = out.where(F.col("rank") <= k)
     far = F.max("distance").over(W.partitionBy(key))
     score = F.coalesce(1 - F.try_divide(F.col("distance"), far), F.lit(1.0))
-    return found.select(key, tag, "rank", "distance", F.round(score, 3).alias("similarity_score"))
+    named = found.select(key, tag, "rank", "distance", F.round(score, 3).alias("similarity_score"), "features_used")
+    if attributes is None:
+        return named.drop("features_used")
+    # a few rows per query meet the farms once
+    theirs = farms.select(F.col(tag).cast("string").alias(tag), *[F.col(c).alias(f"farm_{c}") for c in attributes]).dropDuplicates([tag])
+    return materialize(named, "similar").join(theirs, tag)
 
 
 # Compared features of the filtered similarity score.

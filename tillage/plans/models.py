@@ -338,6 +338,30 @@ for _key, _by in (("l21_similar_farms", "region"), ("j08_query_rows_by_table", "
         return pr.rounded(out.withColumns({"rank": F.col("rank").cast("bigint"), "distance": F.round("distance", 4)}), 4)
 
 
+# mean farms of the regions, some of them without their temperature, rain and pH
+_LACKS = "region < 'NATION_2'"
+_GAPS = ("temperature_C", "rainfall_mm", "soil_pH")
+_ZG = " + ".join(f'coalesce(power((q."{f}" - p."{f}") / s."{f}", 2), 0)' for f in _SIM)
+
+
+@query("l21_similar_farm_attributes", farm_sql(
+    f"""SELECT region, tag, CAST(rank AS BIGINT) AS rank, round(distance, 4) AS distance, round(coalesce(1 - distance / nullif(max(distance) OVER (PARTITION BY region), 0), 1), 3) AS similarity_score,
+    CASE WHEN {_LACKS} THEN {len(_SIM) - len(_GAPS)} ELSE {len(_SIM)} END::BIGINT AS features_used, r AS farm_region, c AS farm_crop_type, y AS farm_{Y}, m AS farm_soil_moisture_pct, h AS "farm_soil_pH" FROM (
+      SELECT *, row_number() OVER (PARTITION BY region ORDER BY round(distance, 9), tag) AS rank FROM (
+        SELECT q.region, p.tag, sqrt({_ZG}) AS distance, p.region AS r, p.crop_type AS c, round(p.{Y}, 2) AS y, round(p.soil_moisture_pct, 4) AS m, round(p."soil_pH", 4) AS h
+        FROM asked q, (SELECT *, {_TAG} AS tag FROM farm) p, spread s)) WHERE rank <= 5""",
+    "spread AS (SELECT " + ", ".join(f'stddev_pop("{f}") AS "{f}"' for f in _SIM) + " FROM farm)",
+    "asked AS (SELECT region, " + ", ".join(f'CASE WHEN {_LACKS} THEN NULL ELSE round(avg("{f}"), 3) END AS "{f}"' if f in _GAPS else f'round(avg("{f}"), 3) AS "{f}"' for f in _SIM) + " FROM farm GROUP BY region)"))
+def _(spark, d):
+    df = farm(spark, d, *_KEY, "region", "crop_type", Y, *_SIM)
+    tag = F.concat_ws("/", "farm_id", "sensor_id", F.round(F.col(Y) * 100).cast("bigint").cast("string"))
+    asked = df.groupBy("region").agg(*[F.round(F.avg(f), 3).alias(f) for f in _SIM])
+    asked = asked.withColumns({f: F.expr(f"CASE WHEN NOT ({_LACKS}) THEN `{f}` END") for f in _GAPS})
+    out = models.similar_farms(asked, df.withColumn("tag", tag), "region", "tag", attributes=["region", "crop_type", Y, "soil_moisture_pct", "soil_pH"])
+    rounded = {"rank": F.col("rank").cast("bigint"), "distance": F.round("distance", 4), f"farm_{Y}": F.round(f"farm_{Y}", 2)}
+    return pr.rounded(out.withColumns(rounded), 4)
+
+
 _WANTED = {"crop_type": "SMALL", "region": "NATION_9", "soil_moisture_pct": 45.0, "soil_pH": 6.5, "temperature_C": 25.0, "rainfall_mm": 240.0, "NDVI_index": 0.6}
 _DIFFS = " ".join(f'- abs("{f}" - {_WANTED[f]}::DOUBLE) / {max(_WANTED[f], 1.0)}::DOUBLE * 0.1::DOUBLE' for f in models.SCORED)
 
