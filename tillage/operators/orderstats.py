@@ -47,18 +47,19 @@ def order_statistics(
     value: str,
     wanted: dict[str, tuple[float, str]],
     count_as: str | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """One row per group: its keys and one column per wanted order statistic.
 
     ``wanted`` maps an output column to (p, mode). Missing values are left out; a group
-    with no value has no row.
+    with no value has no row. With ``weight``, a row stands for as many equal ones.
     """
     k = [f"__k{i}" for i in range(len(keys))]
-    rows = df.select(*[F.col(c).alias(a) for c, a in zip(keys, k)], F.col(value).cast("double").alias("__v"))
+    rows = df.select(*[F.col(c).alias(a) for c, a in zip(keys, k)], F.col(value).cast("double").alias("__v"), (F.col(weight) if weight else F.lit(1)).cast("long").alias("__w"))
     # the join below would infer the last of these filters on one of its two uses of ``values``
     # only, and the shuffle of the counts would then not be shared between them
     rows = rows.where(F.col("__v").isNotNull() & ~F.isnan("__v") & _bucket(F.col("__v")).isNotNull())
-    values = rows.groupBy(*k, "__v").agg(F.count("*").alias("__c"))
+    values = rows.groupBy(*k, "__v").agg(F.sum("__w").alias("__c"))
     ends = values.agg(F.min("__v").alias("__min"), F.max("__v").alias("__max"))
     step = F.try_divide(F.col("__v") - F.col("__min"), F.col("__max") - F.col("__min")) * _STEPS
     values = (

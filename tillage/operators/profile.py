@@ -89,18 +89,34 @@ def yield_statistics(df: DataFrame, value: str = YIELD, quartiles: bool = False)
     return grouped_summary(df, [], value, quartiles)
 
 
+def counted(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """The mergeable summary behind moments, quantiles and modes: each group's values with their number,
+    collapsed where they were read and written once. Whatever is asked next reads only this."""
+    return materialize(df.groupBy(*keys, F.col(value).alias("__value")).agg(F.count("*").alias("__times")), "counted")
+
+
+def moments(summary: DataFrame, keys: list[str]) -> DataFrame:
+    """n, mean, std (sample), min and max per group of a ``counted`` table. The squares are those of
+    the distances from the mean, so large numbers lose nothing."""
+    v, n = F.col("__value").cast("double"), F.when(F.col("__value").isNotNull(), F.col("__times")).otherwise(0)
+    first = summary.groupBy(*keys).agg(
+        F.sum("__times").alias("n"), F.sum(n).alias("__n"), (F.try_divide(F.sum(v * n), F.sum(n))).alias("mean"),
+        F.min("__value").alias("min"), F.max("__value").alias("max"))
+    away = join_on_keys(summary, first.select(*keys, "mean", "__n"), keys)
+    squares = away.groupBy(*keys).agg(
+        F.when(F.max("__n") > 1, F.sqrt(F.sum((v - F.col("mean")) * (v - F.col("mean")) * n) / (F.max("__n") - 1))).alias("std"))
+    return join_on_keys(first, squares, keys).select(*keys, "n", "mean", "std", "min", "max")
+
+
 def grouped_summary(df: DataFrame, keys: list[str], value: str = YIELD, quartiles: bool = True) -> DataFrame:
-    """Count, mean, sample deviation, extremes and exact quantiles per group."""
+    """Count, mean, sample deviation, extremes and exact quantiles per group, in one scan of ``df``."""
     wanted = QUARTILES if quartiles else {"median": (0.5, LINEAR)}
-    v = F.col(value)
-    moments = df.groupBy(*keys).agg(
-        F.count("*").alias("n"),
-        F.avg(v).alias("mean"),
-        F.stddev_samp(v).alias("std"),
-        F.min(v).alias("min"),
-        F.max(v).alias("max"),
-    )
-    return join_on_keys(moments, order_statistics(df, keys, value, wanted), keys)
+    return summarised(counted(df, keys, value), keys, wanted)
+
+
+def summarised(summary: DataFrame, keys: list[str], wanted: dict) -> DataFrame:
+    found = order_statistics(summary, keys, "__value", wanted, weight="__times")
+    return join_on_keys(moments(summary, keys), found, keys)
 
 
 def top_values(df: DataFrame, columns: list[str], k: int = 10) -> DataFrame:
@@ -261,8 +277,13 @@ def upper_summary(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count, mean, sample deviation, extremes and interpolated quartiles per variable."""
+    # the long form has many rows per variable and few values: it is counted once, the plain means come
+    # from the columns themselves
     rows = long_form(df, columns).where(F.col("value").isNotNull())
-    return grouped_summary(rows, ["variable"], "value")
+    v = F.col("value")
+    plain = rows.groupBy("variable").agg(
+        F.count("*").alias("n"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), F.max(v).alias("max"))
+    return join_on_keys(plain, order_statistics(rows, ["variable"], "value", QUARTILES), ["variable"])
 
 
 def profile(df: DataFrame, dates: list[str], categories: list[str], numbers: list[str]) -> DataFrame:
@@ -283,7 +304,22 @@ def profile(df: DataFrame, dates: list[str], categories: list[str], numbers: lis
         ]
         return frame.select(F.inline(F.array(*rows)))
 
-    dated = date_ranges(df, dates)
+    # one scan: all columns, whatever their type, as counted values
+    numeric = [YIELD, *[c for c in numbers if c != YIELD]]
+
+    def cell(c, number, text):
+        return F.struct(F.lit(c).alias("variable"), number.alias("__value"), text.alias("text"))
+
+    cells = [cell(c, F.col(c).cast("double"), none_text) for c in numeric]
+    cells += [cell(c, none_num, F.date_format(F.col(c), "yyyy-MM-dd")) for c in dates]
+    cells += [cell(c, none_num, F.col(c).cast("string")) for c in categories]
+    known = df.select(F.inline(F.array(*cells))).groupBy("variable", "__value", "text").agg(F.count("*").alias("__times"))
+    known = materialize(known, "counted")
+    texts = known.where(F.col("text").isNotNull())
+
+    asked = df.sparkSession.createDataFrame([(c,) for c in dates], "column string")
+    spans = texts.groupBy(F.col("variable").alias("column")).agg(F.min("text").alias("first"), F.max("text").alias("last"))
+    dated = asked.join(spans, "column", "left").fillna("N/A", ["first", "last"])
     dated = dated.select(
         F.inline(
             F.array(
@@ -300,8 +336,9 @@ def profile(df: DataFrame, dates: list[str], categories: list[str], numbers: lis
             )
         )
     )
-    cats = long_form(df, categories, cast="string")
-    top = mode_of(cats, ["variable"], "value").join(distinct_counts(df, categories), "variable", "left")
+    best = F.min(F.struct((-F.col("__times")).alias("neg"), F.col("text").alias("v"))).alias("best")
+    top = texts.where(F.col("variable").isin(categories)).groupBy("variable").agg(best, F.count("*").alias("unique_values"))
+    top = top.select("variable", "unique_values", F.col("best.v").alias("top_value"), (-F.col("best.neg")).alias("top_count"))
     top = top.select(
         F.inline(
             F.array(
@@ -322,10 +359,9 @@ def profile(df: DataFrame, dates: list[str], categories: list[str], numbers: lis
             )
         )
     )
-    overall = stats(
-        "yield", grouped_summary(df, []), F.lit(YIELD), ["mean", "median", "std", "min", "max", "q1", "q3"]
-    )
-    numeric = stats("numerical", describe(df, numbers), F.col("variable"), ["mean", "std", "min", "max", "median"])
+    figures = summarised(known.where(F.col("variable").isin(numeric) & F.col("__value").isNotNull()).select("variable", "__value", "__times"), ["variable"], QUARTILES)
+    overall = stats("yield", figures.where(F.col("variable") == YIELD), F.lit(YIELD), ["mean", "median", "std", "min", "max", "q1", "q3"])
+    numeric = stats("numerical", figures.where(F.col("variable").isin(numbers)), F.col("variable"), ["mean", "std", "min", "max", "median"])
     return overall.unionByName(dated).unionByName(top).unionByName(numeric)
 
 
