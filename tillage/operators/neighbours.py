@@ -1,9 +1,9 @@
 """Exact nearest neighbours without pairing every row with every row.
 
 Equal feature vectors collapse first, so copies of one farm cost one point. The space is
-then cut into cells; each query looks into its own cell, which bounds the distance of its
-k-th neighbour, and afterwards only into the cells that come closer than that bound. Cells
-are cut into chunks of bounded size, so that no task holds more than one chunk of points
+then cut into cells by a balanced tree that grows with the points; each query looks into its own
+cell, which bounds the distance of its k-th neighbour, and then walks the tree, leaving every
+branch that is farther away than that. Cells are cut into chunks of bounded size, so that no task holds more than one chunk of points
 against one chunk of queries, however many points a cell holds.
 
 Neighbours are ordered by distance and, at equal distance, by class label. Distances are
@@ -28,9 +28,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CHUNK = 20_000  # points or queries of one cell that meet in one task
 CELL_ROWS = 500  # points per cell that a small table aims at
-MAX_CELLS = 1024  # bound of the cell list that every task holds
+MAX_CELLS = 1 << 17  # bound of the tree that every task holds; the cells grow with the points up to there
 FEW = 1000  # so many queries travel to the points instead of meeting them by cell
-SAMPLE = 20_000  # rows that place the cuts; the cuts steer the speed, not the result
+SAMPLE_ROWS = 20  # rows per cell that place the cuts; the cuts steer the speed, not the result
 DIGITS = 9
 
 
@@ -56,51 +56,64 @@ def standardised(df: DataFrame, scale: DataFrame, features: list[str]) -> DataFr
 # ---- cells ----------------------------------------------------------------------------------------------------
 
 
-def _plan_cells(sample: np.ndarray, cells: int):
-    """Axis-aligned boxes that cover the space, by halving the widest side of the fullest box.
-
-    Returns (lower, upper) bounds; a box is open below and closed above.
-    """
-    dims = sample.shape[1]
-    boxes = [(np.full(dims, -np.inf), np.full(dims, np.inf), sample)]
-    while len(boxes) < cells:
-        boxes.sort(key=lambda b: len(b[2]))
-        low, high, inside = boxes.pop()
-        cut = None
-        for axis in np.argsort(-np.ptp(inside, axis=0)) if len(inside) > 1 else []:
-            values = np.unique(inside[:, axis])
-            if len(values) > 1:
-                middle = np.median(inside[:, axis])
-                # the largest value must stay above the cut
-                cut = (axis, middle if middle < values[-1] else values[-2])
-                break
-        if cut is None:
-            boxes.append((low, high, inside))
-            break
-        axis, at = cut
-        left_high, right_low = high.copy(), low.copy()
-        left_high[axis] = right_low[axis] = at
-        below = inside[:, axis] <= at
-        boxes += [(low, left_high, inside[below]), (right_low, high, inside[~below])]
-    return np.array([b[0] for b in boxes]), np.array([b[1] for b in boxes])
-
-
-def _box_distances(x: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """Distance of each row to each box (0 inside)."""
-    out = np.zeros((len(x), len(low)))
-    for axis in range(x.shape[1]):
-        v = x[:, axis][:, None]
-        gap = np.maximum(np.maximum(low[:, axis] - v, v - high[:, axis]), 0.0)
-        out += gap * gap
-    return np.sqrt(out)
-
-
-def _cell_of(x: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    inside = np.ones((len(x), len(low)), dtype=bool)
-    for axis in range(x.shape[1]):
-        v = x[:, axis][:, None]
-        inside &= (v > low[:, axis]) & (v <= high[:, axis])
-    return inside.argmax(axis=1)
+class CellTree:
+    """Cells that cover the space: a balanced tree of cuts, each at the median of the widest side of a
+    sample. What is at or below a cut goes left; the right child follows the left one."""
+
+    def __init__(self, sample: np.ndarray, cells: int):
+        most = max(1, -(-len(sample) // cells))
+        self.axis, self.cut, self.left, parts = [-1], [0.0], [0], [sample]
+        at = 0
+        while at < len(parts):
+            inside, parts[at] = parts[at], None
+            if len(inside) > most:
+                for axis in np.argsort(-np.ptp(inside, axis=0)):
+                    values = np.unique(inside[:, axis])
+                    if len(values) > 1:
+                        middle = np.median(inside[:, axis])
+                        # the largest value must stay above the cut
+                        middle = middle if middle < values[-1] else values[-2]
+                        below = inside[:, axis] <= middle
+                        self.axis[at], self.cut[at], self.left[at] = int(axis), float(middle), len(parts)
+                        parts += [inside[below], inside[~below]]
+                        self.axis += [-1, -1]
+                        self.cut += [0.0, 0.0]
+                        self.left += [0, 0]
+                        break
+            at += 1
+        self.axis, self.cut, self.left = np.array(self.axis, np.int16), np.array(self.cut), np.array(self.left, np.int32)
+
+    def home(self, x: np.ndarray) -> np.ndarray:
+        """The cell of each row, in as many steps as the tree is deep."""
+        at, live = np.zeros(len(x), np.int64), np.arange(len(x))
+        while len(live):
+            live = live[self.axis[at[live]] >= 0]
+            here = at[live]
+            at[live] = self.left[here] + (x[live, self.axis[here]] > self.cut[here])
+        return at
+
+    def within(self, x: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, cell) for every cell that comes as close to a row as its reach: branches that are
+        farther away are left where they begin."""
+        rows, cells = [], []
+        for begin in range(0, len(x), 500):
+            row = np.arange(begin, min(len(x), begin + 500))
+            node, gap = np.zeros(len(row), np.int64), np.zeros((len(row), x.shape[1]))
+            while len(row):
+                leaf = self.axis[node] < 0
+                rows.append(row[leaf])
+                cells.append(node[leaf])
+                row, node, gap = row[~leaf], node[~leaf], gap[~leaf]
+                axis, over = self.axis[node].astype(np.int64), x[row, self.axis[node]] - self.cut[node]
+                found = []
+                for side, away in ((0, over), (1, -over)):
+                    g = gap.copy()
+                    each = np.arange(len(row))
+                    g[each, axis] = np.maximum(g[each, axis], away)
+                    near = np.sqrt((g * g).sum(1)) <= reach[row]
+                    found.append((row[near], self.left[node][near] + side, g[near]))
+                row, node, gap = (np.concatenate(p) for p in zip(*found))
+        return np.concatenate(rows), np.concatenate(cells)
 
 
 # ---- the join ---------------------------------------------------------------------------------------------------
@@ -245,16 +258,17 @@ def nearest(
     places = materialize(p.groupBy(*features, "label", "__fold", *extra).agg(F.count("*").alias("__w")), "places")
 
     # ---- cells from a bounded sample
-    some = places.select(*features).orderBy(F.xxhash64(*features)).limit(SAMPLE).toPandas().to_numpy(float)
+    cells = max(1, min(MAX_CELLS, places.count() // CELL_ROWS))
+    some = places.select(*features).orderBy(F.xxhash64(*features)).limit(SAMPLE_ROWS * cells).toPandas().to_numpy(float)
     if len(some) == 0:
         return queries.limit(0).select(F.col(key)).withColumns(
             {"rank": F.lit(0), "distance": F.lit(0.0), "label": F.lit(""), "n": F.lit(0), "taken": F.lit(0)}
         )
-    low, high = _plan_cells(some, min(MAX_CELLS, places.count() // CELL_ROWS + 1))
+    tree = queries.sparkSession.sparkContext.broadcast(CellTree(some, cells))  # 15 bytes per node
 
     def home(batches):
         for b in batches:
-            yield b.assign(__cell=_cell_of(b[features].to_numpy(float), low, high).astype("int32"))
+            yield b.assign(__cell=tree.value.home(b[features].to_numpy(float)).astype("int32"))
 
     def with_cell(df):
         return df.mapInPandas(home, ", ".join(f"`{n}` {t}" for n, t in df.dtypes) + ", __cell int")
@@ -297,11 +311,10 @@ def nearest(
     def neighbours_cells(batches):
         for b in batches:
             x = b[features].to_numpy(float)
-            own = _cell_of(x, low, high)
-            gaps = _box_distances(x, low, high)
-            near_enough = gaps <= b["__reach"].to_numpy()[:, None] + 10.0**-DIGITS
-            near_enough[np.arange(len(x)), own] = False
-            row, col = np.nonzero(near_enough)
+            own = tree.value.home(x)
+            row, col = tree.value.within(x, b["__reach"].to_numpy() + 10.0**-DIGITS)
+            other = col != own[row]
+            row, col = row[other], col[other]
             yield b.drop(columns="__reach").iloc[row].assign(__cell=col.astype("int32"))
 
     fields = ", ".join(f"`{n}` {t}" for n, t in sites.dtypes) + ", __cell int"
