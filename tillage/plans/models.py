@@ -16,7 +16,7 @@ from tillage.plans.rows import GAP_SQL, with_gaps
 from tillage.plans.statistics import WATER_SQL, histogram_sql
 from tillage.session import fresh_path, materialize
 from tillage.sources import files
-from tillage.sources.binding import farm, farm_sql
+from tillage.sources.binding import farm, farm_sql, table
 
 _NUMERIC = models.NUMERIC_BASE + models.NUMERIC_EXTENDED
 _LABELS = models.CATEGORICAL + models.SEASONAL
@@ -266,6 +266,60 @@ def _(spark, d):
     return pr.rounded(models.k_selection(train, models.DISEASE_FEATURES, "row_key", "crop_disease_status"), 6)
 
 
+# the same classifier over the vectors of the embeddings table, where SQL can compare every pair
+_V = [f"f{i}" for i in range(7)]
+_VECTOR_SQL = [
+    "v AS (SELECT vec_id, CAST(label AS VARCHAR) AS label, " + ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS {f}" for i, f in enumerate(_V)) + " FROM embeddings WHERE embedding IS NOT NULL AND label IS NOT NULL)",
+    "s AS (SELECT " + ", ".join(f"avg({f}) AS m_{f}, stddev_pop({f}) AS s_{f}" for f in _V) + " FROM v WHERE vec_id % 5 <> 0)",
+    "near AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, label) AS rk FROM (SELECT q.vec_id, q.label AS actual, p.label, round(sqrt("
+    + " + ".join(f"power((q.{f} - p.{f}) / s_{f}, 2)" for f in _V) + "), 9) AS d FROM v q, v p, s WHERE q.vec_id % 5 = 0 AND p.vec_id % 5 <> 0))",
+    "votes AS (SELECT vec_id, actual, label, CASE WHEN min(d) OVER (PARTITION BY vec_id) = 0 THEN CAST(d = 0 AS INT)::DOUBLE ELSE 1 / d END AS w FROM near WHERE rk <= 5)",
+    "shares AS (SELECT vec_id, actual, label, sum(w) / sum(sum(w)) OVER (PARTITION BY vec_id) AS probability FROM votes GROUP BY vec_id, actual, label)",
+]
+
+
+def _with(body, *ctes):
+    return "WITH " + ", ".join(ctes) + "\n" + body
+
+
+def _vectors(spark, d):
+    rows = table(spark, d, "embeddings").where("embedding IS NOT NULL AND label IS NOT NULL")
+    return rows.select("vec_id", F.col("label").cast("string").alias("label"), *[F.get("embedding", F.lit(i)).cast("double").alias(f) for i, f in enumerate(_V)])
+
+
+def _vector_votes(spark, d):
+    rows = materialize(_vectors(spark, d), "vectors", spread=True)
+    test = rows.where("vec_id % 5 = 0")
+    return models.knn_probabilities(rows.where("vec_id % 5 <> 0"), test, _V, "vec_id", "label", 5), test
+
+
+@query("l15_knn_of_vectors", _with(
+    """SELECT actual, predicted, count(*) AS n FROM (SELECT vec_id, actual, label AS predicted, row_number() OVER (PARTITION BY vec_id ORDER BY round(probability, 12) DESC, label) AS k FROM shares)
+    WHERE k = 1 GROUP BY actual, predicted""", *_VECTOR_SQL))
+def _(spark, d):
+    votes, test = _vector_votes(spark, d)
+    out = models.predicted_class(votes, "vec_id").join(test.select("vec_id", F.col("label").alias("actual")), "vec_id")
+    return models.confusion(out)
+
+
+@query("l19_vector_probabilities", _with("SELECT vec_id, label, round(probability, 6) AS probability FROM shares WHERE probability > 0", *_VECTOR_SQL))
+def _(spark, d):
+    votes, _ = _vector_votes(spark, d)
+    return votes.where("probability > 0").select("vec_id", "label", F.round("probability", 6).alias("probability"))
+
+
+@query("l16_k_selection_of_vectors", _with(
+    """SELECT k, round(avg(accuracy), 6) AS accuracy FROM (SELECT k, fold, avg(CASE WHEN predicted = actual THEN 1.0::DOUBLE ELSE 0 END) AS accuracy FROM (
+      SELECT *, row_number() OVER (PARTITION BY vec_id, k ORDER BY n DESC, predicted) AS place FROM (
+        SELECT k, vec_id, fold, actual, label AS predicted, count(*) AS n FROM close, range(1, 21) t(k) WHERE rk <= k GROUP BY ALL)) WHERE place = 1 GROUP BY k, fold) GROUP BY k""",
+    _VECTOR_SQL[0], f"folded AS (SELECT *, floor({_u(['vec_id'], models.SEED + 1)} * 5) AS fold FROM v)",
+    "close AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, label) AS rk FROM (SELECT q.vec_id, q.fold, q.label AS actual, p.label, round(sqrt("
+    + " + ".join(f"power(q.{f} - p.{f}, 2)" for f in _V) + "), 9) AS d FROM folded q, folded p WHERE q.fold <> p.fold))"))
+def _(spark, d):
+    out = models.k_selection(materialize(_vectors(spark, d), "vectors", spread=True), _V, "vec_id", "label")
+    return out.select(F.col("k").cast("bigint").alias("k"), F.round("accuracy", 6).alias("accuracy"))
+
+
 _ACTUAL = "CASE crop_disease_status WHEN 'No Disease' THEN 'Low' WHEN 'Mild' THEN 'Medium' ELSE 'High' END"
 _JUDGED_SQL = f"""judged AS (SELECT {_ACTUAL} AS actual, CASE WHEN humidity_pct > 70 OR "temperature_C" > 28 THEN 'Medium' ELSE 'Low' END AS predicted FROM farm)"""
 
