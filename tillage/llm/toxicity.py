@@ -170,10 +170,17 @@ def train(texts: list[str], toxic: list[int], landmarks: int = 128, negatives: i
     are the positive examples; words of clean texts are the negative ones, to which the worst
     mistakes among all clean words are added twice. The machine's border stands for a score of 0.3.
     """
-    cut = [(candidates(t), y) for t, y in dict(zip(texts, toxic)).items()]
-    clean = Counter(w for words, y in cut if not y for w in words)
-    bad = [words for words, y in cut if y]
-    n_clean, rng = len(cut) - len(bad), np.random.default_rng(seed)
+    # only the toxic texts' words stay, each string once; clean texts are counted and let go
+    clean, bad, n_clean, rng = Counter(), [], 0, np.random.default_rng(seed)
+    pool: dict[str, str] = {}
+    for t, y in dict(zip(texts, toxic)).items():
+        words = {pool.setdefault(w, w) for w in candidates(t)}
+        if y:
+            bad.append(words)
+        else:
+            clean.update(words)
+            n_clean += 1
+    del pool
     if not bad or not n_clean:
         return None
     holders: dict[str, set[int]] = defaultdict(set)
