@@ -21,7 +21,7 @@ _OTHER_RUN = re.compile(f"[{_SPACE}][ \n]")
 _PIECES = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 _ASCII_RUNS = ("  ", "\n\n", " \n", "\n ", "\x00", "\t", "\r", "\x0b", "\x0c")
 _CACHED_CHARS = 40
-_CACHED = 80 << 20  # bytes of an age of the memo
+_CACHED = 128 << 20  # bytes of an age of the memo
 
 
 class ChunkEncoder:
