@@ -86,8 +86,9 @@ class TwoAges(dict):
     def turn(self) -> None:
         """Call between batches: starts a new age if this one is full."""
         if len(self) > self.counted:  # new entries stand last
-            fresh = islice(reversed(self.items()), 0, len(self) - self.counted, 16)  # every 16th is weighed
-            self.held += 16 * sum(100 + _weight(k) + _weight(v) for k, v in fresh)
+            fresh = len(self) - self.counted
+            some = [100 + _weight(k) + _weight(v) for k, v in islice(reversed(self.items()), 0, fresh, 16)]  # every 16th is weighed
+            self.held += fresh * sum(some) // len(some)
             self.counted = len(self)
         if self.held >= self.most:
             self.old = dict(self)
