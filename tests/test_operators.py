@@ -349,6 +349,31 @@ def test_clusters_are_numbered_by_yield(spark):
     assert all(r[Y] == 1.0 and r["water_efficiency"] == 0.0 for r in profile)
 
 
+def test_joint_steps_are_those_of_the_engine(spark):
+    import numpy as np
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.evaluation import ClusteringEvaluator
+
+    rows = [(f"f{i}", float(i * 37 % 101), float(i * i % 53), i % 7 / 3) for i in range(300)]
+    ready = clustering.prepared(spark.createDataFrame(rows, f"farm_id string, {Y} double, soil_pH double, NDVI_index double")).persist()
+    fits = clustering.fitted(ready, 2, 4)
+    for k, inertia, silhouette in clustering.k_selection(ready, models=fits):
+        model = KMeans(k=k, seed=42, featuresCol="features").fit(ready.select("features"))
+        assert np.allclose(model.clusterCenters(), fits[k])
+        assert silhouette == pytest.approx(ClusteringEvaluator().evaluate(model.transform(ready)))
+        assert clustering.misplaced(ready, k, fits[k]).first().asDict() == {"n": 300, "unassigned": 0, "not_nearest": 0}
+        assert 0 < inertia <= model.summary.trainingCost + 1e-6
+    ready.unpersist()
+
+
+def test_one_pass_serves_every_k(spark, monkeypatch):
+    ready = clustering.prepared(spark.createDataFrame([(f"f{i}", float(i * 37 % 101), float(i * i % 53)) for i in range(200)], f"farm_id string, {Y} double, soil_pH double"))
+    passes, added = [], clustering._added
+    monkeypatch.setattr(clustering, "_added", lambda cells, measure, shapes: passes.append(len(shapes)) or added(cells, measure, shapes))
+    clustering.best_assigned(ready)
+    assert len(passes) <= clustering.STEPS + 2 and passes[0] == passes[-1] == 7
+
+
 # ---- allocation -----------------------------------------------------------------------------------------------------
 
 
