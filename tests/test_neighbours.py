@@ -52,3 +52,15 @@ def test_many_queries_equal_brute_force(spark, monkeypatch, fold, tag):
         assert [f[:2] for f in flat] == list(zip(want["d"], want["label"]))
         if tag:
             assert [f[2] for f in flat] == want["id"].tolist()
+
+
+def test_a_further_cell_answers_only_within_reach():
+    points = table(200, 3).assign(__w=1)
+    asked = table(20, 4).assign(__q=range(20))
+    every = neighbours._closest(asked, points, DIMS, 5, False)
+    assert every["n"].sum() >= 100
+    reach = every.groupby("__q")["distance"].min()
+    near = neighbours._closest(asked.assign(__reach=reach.to_numpy()), points, DIMS, 5, False)
+    assert sorted(near["__q"].unique()) == list(range(20)) and (near["distance"].to_numpy() <= reach[near["__q"]].to_numpy()).all()
+    none = neighbours._closest(asked.assign(__reach=-1.0), points, DIMS, 5, False)
+    assert len(none) == 0
