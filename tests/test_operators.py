@@ -374,6 +374,24 @@ def test_one_pass_serves_every_k(spark, monkeypatch):
     assert len(passes) <= clustering.STEPS + 2 and passes[0] == passes[-1] == 7
 
 
+def test_vectors_travel_in_blocks(spark):
+    import numpy as np
+
+    rows = [(f"f{i}", float(i * 37 % 101), float(i * i % 53)) for i in range(200)]
+    ready = clustering.prepared(spark.createDataFrame(rows, f"farm_id string, {Y} double, soil_pH double").coalesce(1))
+    cells = clustering._cells(ready)
+    assert cells.count() == -(-200 // clustering.BLOCK)
+    sums = clustering._added(cells, lambda x: {1: np.r_[len(x), (x * x).sum(0)]}, {1: 3})
+    assert np.allclose(sums[1], [200, 200, 200])
+
+
+def test_one_pass_judges_every_inertia(spark, monkeypatch):
+    ready = clustering.prepared(spark.createDataFrame([(f"f{i}", float(i * 37 % 101), float(i * i % 53)) for i in range(200)], f"farm_id string, {Y} double, soil_pH double"))
+    monkeypatch.setattr(clustering, "_placed", lambda *_: pytest.fail("the rows are placed once for each k"))
+    gaps = {r["k"]: r["gap"] for r in clustering.inertia_gap(ready).collect()}
+    assert sorted(gaps) == list(range(2, 9)) and all(abs(g) < 1e-9 for g in gaps.values())
+
+
 # ---- allocation -----------------------------------------------------------------------------------------------------
 
 
