@@ -493,3 +493,46 @@ def test_pandas_agrees_on_quote_all(spark):
     with open(part) as f:
         assert f.read().splitlines()[1].startswith('"a,b","1.5"')
     assert pd.read_csv(part).loc[0, "s"] == "a,b"
+
+
+def test_large_tables_are_not_dealt_out_again(spark):
+    from tillage.session import materialize
+
+    cores, before = spark.sparkContext.defaultParallelism, spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(4 * cores))
+    try:
+        assert materialize(spark.range(100 * cores).repartition(cores), "spread", spread=True).rdd.getNumPartitions() == cores
+        assert materialize(spark.range(100).coalesce(1), "spread", spread=True).rdd.getNumPartitions() == 4 * cores
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_least_squares_keeps_no_rows_and_leaves_nothing(spark, monkeypatch):
+    from pyspark.ml.regression import LinearRegression
+
+    rows = [(float(i % 17), "ab"[i % 2] if i % 9 else None, "xyz"[i % 3], float(i * 31 % 23)) for i in range(120)]
+    df = spark.createDataFrame(rows, f"soil_pH double, crop_type string, region string, {Y} double").fillna("?", ["crop_type"])
+    monkeypatch.setattr(type(df), "persist", lambda *_: pytest.fail("the rows are read once"))
+    numeric, labels = ["soil_pH"], ["crop_type", "region"]
+    model = models.train(df, numeric, labels, {"Linear Regression": LinearRegression(labelCol=Y, featuresCol="features")})["Linear Regression"]
+    scored = model.transform(df)
+    left = {(r["feature"], r["value"]): r["rest"] for r in models.normal_equations(scored, numeric, labels).collect()}
+    assert len(left) == 7 and all(abs(v) < 1e-6 for v in left.values())
+    # a wrong prediction leaves the mean error of each label
+    off = scored.withColumn("prediction", F.lit(0.0))
+    left = {(r["feature"], r["value"]): r["rest"] for r in models.normal_equations(off, numeric, labels).collect()}
+    y = [r[3] for r in rows]
+    spread = (sum(v * v for v in y) / len(y) - (sum(y) / len(y)) ** 2) ** 0.5
+    mine = [r[3] for r in rows if r[2] == "y"]
+    assert left["region", "y"] == pytest.approx(sum(mine) / len(mine) / spread)
+
+
+def test_disease_features_join_once(spark, sf_dir, monkeypatch):
+    from tillage.plans import models as plans
+
+    names, made = [], plans.materialize
+    monkeypatch.setattr(plans, "materialize", lambda df, name, **more: names.append(name) or made(df, name, **more))
+    import __spark_entry__
+
+    assert __spark_entry__.queries()["l14_disease_features"](spark, sf_dir).count() > 0
+    assert names == ["disease-rows"]
