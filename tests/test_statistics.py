@@ -41,6 +41,14 @@ def test_upper_pick_and_rank(spark):
     assert (row["m"], row["mid"], row["r"], row["top"]) == (3.0, 2.5, 4.0, 4.0)
 
 
+def test_order_statistics_by_scans_are_the_same(spark):
+    rows = [(None if i % 5 == 0 else i % 3, None if i % 11 == 0 else float("nan") if i % 13 == 0 else (i * i % 97 - 40) / 7) for i in range(600)]
+    df = spark.createDataFrame(rows, "g int, v double")
+    wanted = {"lo": (0.33, LINEAR), "hi": (0.66, LINEAR), "up": (0.5, UPPER), "r": (0.8, RANK)}
+    both = [{tuple(r) for r in order_statistics(df, ["g"], "v", wanted, count_as="n", scans=s).collect()} for s in (False, True)]
+    assert both[0] == both[1] and len(both[0]) == 4
+
+
 def test_order_statistics_of_nothing(spark):
     df = spark.createDataFrame([], "v double")
     assert order_statistics(df, [], "v", {"m": (0.5, LINEAR)}).collect() == []

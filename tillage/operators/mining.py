@@ -47,7 +47,7 @@ def with_terciles(df: DataFrame, bins: dict | None = None) -> DataFrame:
     bins = {a: b for a, b in (bins or TERCILE_BINS).items() if b[0] in df.columns}
     columns = [c for c, _ in bins.values()]
     cuts = order_statistics(
-        long_form(df, columns), ["variable"], "value", {"lo": (0.33, LINEAR), "hi": (0.66, LINEAR)}
+        long_form(df, columns), ["variable"], "value", {"lo": (0.33, LINEAR), "hi": (0.66, LINEAR)}, scans=True
     )
     one = cuts.agg(
         *[F.max(F.when(F.col("variable") == c, F.col(e))).alias(f"__{e}_{c}") for c in columns for e in ("lo", "hi")]

@@ -73,10 +73,14 @@ def rules_sql(body):
     return farm_sql(body, BINNED_SQL, SETS_SQL, RULES_SQL)
 
 
+def _discretised(spark, d):
+    # the quantiles and the labels read the rows in turn; written once, the farm joins run a single time
+    return mining.discretise(materialize(farm(spark, d, *_INPUTS), "mining-rows"))
+
+
 def _itemsets(spark, d):
-    # the baskets are read several times; written once, the farm joins and the quantiles
-    # behind them run a single time
-    baskets = materialize(mining.transactions(mining.discretise(farm(spark, d, *_INPUTS))), "baskets", spread=True)
+    # the baskets are read several times; written once, the quantiles behind them run a single time
+    baskets = materialize(mining.transactions(_discretised(spark, d)), "baskets", spread=True)
     return mining.frequent_itemsets(baskets)
 
 
@@ -88,7 +92,7 @@ def _rules(spark, d):
     f"""SELECT {", ".join(c for c in _C if c.endswith(("category", "level")))}, count(*) AS n FROM binned GROUP BY ALL""", BINNED_SQL))
 def _(spark, d):
     cols = [c for c in _C if c.endswith(("category", "level"))]
-    return pr.distribution(mining.discretise(farm(spark, d, *_INPUTS)).select(*cols), cols)
+    return pr.distribution(_discretised(spark, d).select(*cols), cols)
 
 
 @query("r02_frequent_itemsets", farm_sql(
