@@ -78,3 +78,24 @@ def test_forest_without_variety(spark):
     assert forest.ForestRegressor(numTrees=9, maxDepth=3, labelCol="y").fit(rows.limit(1)).transform(rows).first()["prediction"] == 2.0
     assert {r[0] for r in model.transform(rows).select("prediction").collect()} == {2.0}
     assert model.featureImportances.toArray().tolist() == [0.0]
+
+
+def test_one_hot_columns_are_counted_together(monkeypatch):
+    rng = np.random.default_rng(5)
+    label = rng.integers(0, 21, 300)
+    x = np.c_[rng.integers(0, 9, 300), label[:, None] == np.arange(20), rng.integers(0, 2, 300)].astype(np.uint8)
+    y, w = np.round(x[:, 0] + label * 2.0 + rng.normal(size=300), 2), rng.integers(1, 4, 300).astype(float)
+    passes, count = [], np.bincount
+    monkeypatch.setattr(forest.np, "bincount", lambda *a, **k: passes.append(1) or count(*a, **k))
+    feature, cut, left, value, _ = forest.grow(x, y, w, 4, [9] + [2] * 21)
+    assert len(passes) < 4 * 22
+    assert np.allclose(value[forest.walk(x, feature, cut, left)], plain_tree(x, y, w, 4))
+
+
+def test_a_tree_does_not_depend_on_how_many_nodes_are_split_together(monkeypatch):
+    rng = np.random.default_rng(6)
+    x = np.c_[rng.integers(0, 9, (500, 3)), rng.integers(0, 2, (500, 3))].astype(np.uint8)
+    y, w = rng.normal(size=500), rng.integers(1, 4, 500).astype(float)
+    whole = forest.grow(x, y, w, 8, [9] * 3 + [2] * 3)
+    monkeypatch.setattr(forest, "CELLS", 20)
+    assert all(np.array_equal(a, b) for a, b in zip(whole, forest.grow(x, y, w, 8, [9] * 3 + [2] * 3)))
