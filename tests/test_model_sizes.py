@@ -1,6 +1,7 @@
 """The registered models have the published sizes; nothing is fitted here."""
 
 import pytest
+from pyspark.ml.functions import array_to_vector
 
 import __spark_entry__
 from tillage.operators import models
@@ -28,3 +29,14 @@ def test_published_sizes(spark, sf_dir, monkeypatch, query):
         assert (seen["Random Forest"].getNumTrees(), seen["Random Forest"].getMaxDepth()) == (300, 18)
     if "Gradient Boosting" in seen:
         assert (seen["Gradient Boosting"].getMaxIter(), seen["Gradient Boosting"].getMaxDepth()) == (200, 4)
+
+
+def test_boosting_walks_its_trees(spark):
+    """Nodes kept per row cost a join of all rows at every level, and change no split."""
+    boosting = models.regressors(rounds=3)["Gradient Boosting"]
+    assert not boosting.getCacheNodeIds()
+    rows = spark.range(400).selectExpr("array(double(id % 7), double(id * id % 31)) AS v", f"double(id % 7 * 10 + id * id % 31) AS {models.YIELD}")
+    rows = rows.select(array_to_vector("v").alias("features"), models.YIELD).persist()
+    kept = boosting.copy({boosting.cacheNodeIds: True})
+    a, b = (m.fit(rows).toDebugString.split("\n", 1)[1] for m in (boosting, kept))
+    assert a == b
