@@ -1,6 +1,7 @@
 """The operators against plain versions, on texts with every odd case, and on the small tables."""
 
 import importlib
+import os
 import random
 import zlib
 
@@ -20,7 +21,7 @@ from tillage.llm.queries import QUERIES, tokenizer
 from tillage.llm.substring_dedup import substring_dedup
 from tillage.llm.suffix_dedup import HashedText, sort_suffixes, suffix_dedup
 from tillage.llm.token_files import token_files, write_token_files
-from tillage.llm.toxicity import score_toxicity, train
+from tillage.llm.toxicity import fit_toxicity, score_toxicity, train
 from tillage.llm.url_filter import filter_urls
 
 rnd = random.Random(5)
@@ -143,6 +144,19 @@ def test_toxicity(spark, docs, nothing):
     assert train([], []) is None and score_toxicity(docs, None).where("score <> 0").count() == 0
 
 
+def test_toxicity_is_learnt_in_a_task(spark, monkeypatch):
+    """The driver neither collects the texts nor trains on them."""
+    rows = [(i, f"word{i} plain text zzbad" if i % 2 else f"word{i} plain text here", i % 2) for i in range(40)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id bigint, toxic int")
+    here, driver = train([t for _, t, _ in rows], [y for _, _, y in rows]), os.getpid()
+    monkeypatch.setattr("tillage.llm.toxicity.train", lambda *a: pytest.fail("trained on the driver") if os.getpid() == driver else train(*a))
+    model = fit_toxicity(docs, labels)
+    texts = [t for _, t, _ in rows] + ["", "zzzbad"]
+    assert model.score(texts) == here.score(texts) and model.score(["zzbad"])[0] > 0.3
+    assert fit_toxicity(docs, labels.limit(0)) is None
+
+
 def test_toxicity_on_held_out_rows(spark, sf_dir):
     small = sf_dir.replace("sf0.001", "sf0.1")
     got = {r["doc_id"]: r for r in QUERIES["op7_toxicity"](spark, small).collect()}

@@ -8,6 +8,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -231,18 +232,26 @@ def _fit(marks: list[str], positive: list[str], negative: list[str]) -> Toxicity
 def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = 2000, max_chars: int = 20_000) -> ToxicityModel | None:
     """Trains on at most ``per_class`` toxic and as many clean rows of ``labels`` joined with
     ``docs``: those of the smallest hash of their doc_id, of texts up to ``max_chars``
-    characters. These bounds hold for training alone; scoring reads whole texts."""
+    characters. These bounds hold for training alone; scoring reads whole texts. The training runs
+    in a task: the driver gets the model and no text."""
     rows = labels.where("toxic in (0, 1)").select("doc_id", "toxic").dropDuplicates(["doc_id"])
     h = F.xxhash64("doc_id", F.lit(7))
     some = rows.where("toxic = 1").orderBy(h).limit(per_class).unionAll(rows.where("toxic = 0").orderBy(h).limit(per_class))
     texts = docs.select("doc_id", "text").where((F.char_length("text") <= max_chars)).join(F.broadcast(some), "doc_id")
-    got = sorted((r["doc_id"], r["text"], r["toxic"]) for r in texts.select("doc_id", "text", "toxic").collect())
-    try:
-        return train([t for _, t, _ in got], [y for _, _, y in got])
-    finally:
+
+    def run(batches):
+        hold("toxicity training")
+        got = sorted(row for b in batches for row in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "toxic"))))
+        model = train([t for _, t, _ in got], [y for _, _, y in got])
         del got
+        yield pa.RecordBatch.from_arrays([pa.array([cloudpickle.dumps(model)], pa.binary())], names=["model"])
         release()
 
+    # the chosen rows meet in one task, as many as the bounds allow
+    made = texts.select("doc_id", "text", "toxic").repartition(1).mapInArrow(run, "model binary")
+    row = made.first()  # none if no row was chosen
+    return cloudpickle.loads(row["model"]) if row else None
+
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel | None, column: str = "score") -> DataFrame:
     """``docs`` with ``column``, from 0 to 1: the higher, the likelier toxic.
