@@ -129,6 +129,20 @@ def test_components(spark):
     assert got == {**{i: 0 for i in range(51)}, **{100 + i: 100 for i in range(80)}, 300: 300, 301: 300}
 
 
+def test_an_encoder_is_built_in_little_memory():
+    import tracemalloc
+
+    import public_tokenizers
+
+    tracemalloc.start()
+    try:
+        PrefixBPE(public_tokenizers.path("word_bpe_49k.json"))
+        held, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert peak < held + (64 << 20)
+
+
 def test_toxicity(spark, docs, nothing):
     bad = ["blorkhead", "snarfle", "grumptwit"]
     texts = [prose(30) for _ in range(400)]

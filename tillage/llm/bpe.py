@@ -28,6 +28,16 @@ def _byte_chars() -> list[str]:
     return [chr(b) if b in shown else chr(next(other)) for b in range(256)]
 
 
+def _newer_letters():
+    """Letters and digits that the regex module knows and this interpreter does not. A few code points
+    at a time: all of them at once would hold 100 MB in every worker that starts."""
+    wanted = regex.compile(r"[\p{L}\p{N}]")
+    for begin in range(0, 0x110000, 4096):
+        codes = range(max(begin, 0x80), begin + 4096)
+        some = "".join([chr(c) for c in codes if not 0xD800 <= c < 0xE000])
+        yield from (c for c in wanted.findall(some) if unicodedata.category(c) == "Cn")
+
+
 class PrefixBPE:
     """Encodes words exactly as merging by rank would, without merging.
 
@@ -69,9 +79,7 @@ class PrefixBPE:
         # the pre-tokenizer's pattern comes from the file; letters and digits that this interpreter
         # does not know yet are newer than the tokenizers library's and count as other characters
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        known = "".join(map(chr, [*range(0x80, 0xD800), *range(0xE000, 0x110000)]))
-        new = [c for c in regex.findall(r"[\p{L}\p{N}]", known) if unicodedata.category(c) == "Cn"]
-        self.unknown = dict.fromkeys(map(ord, new), "\u0378")  # a code point that no version assigns
+        self.unknown = dict.fromkeys(map(ord, _newer_letters()), "\u0378")  # a code point that no version assigns
         self.pattern = regex.compile(pattern.replace(r"\s", r"\p{White_Space}"))
         self.pieces: dict[str, bytes] = TwoAges(_CACHED, "bpe")
         self.chunks: dict[str, tuple[bytes, str]] = TwoAges(_CACHED, "bpe")
