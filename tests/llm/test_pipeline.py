@@ -36,3 +36,23 @@ def test_all_stages_take_odd_rows(spark, sf_dir, rows):
         assert {"doc_id", "n_tokens", "ids_sha256"} <= set(docs.columns)
         # the common line stays in document 6 only, which then is a near copy of document 2
         assert sorted((r.doc_id for r in docs.collect()), key=repr) == sorted([1, 1, 1, 2, 3, 3, 4, 5, None], key=repr)
+
+
+def test_texts_travel_in_small_batches(spark, sf_dir):
+    import pyarrow as pa
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    try:
+        corpus_pipeline.STAGES[1][1](spark, frame(spark, ROWS), sf_dir)
+
+        def sizes(batches):
+            yield from (pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["n"]) for b in batches)
+
+        got = [r.n for r in spark.range(0, 3000, 1, 1).mapInArrow(sizes, "n long").collect()]
+        assert sum(got) == 3000 and max(got) <= corpus_pipeline.BATCH_ROWS
+        spark.conf.set(key, "100")  # a smaller limit stays
+        corpus_pipeline.STAGES[1][1](spark, frame(spark, ROWS), sf_dir)
+        assert spark.conf.get(key) == "100"
+    finally:
+        spark.conf.set(key, old)
