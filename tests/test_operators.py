@@ -536,3 +536,26 @@ def test_disease_features_join_once(spark, sf_dir, monkeypatch):
 
     assert __spark_entry__.queries()["l14_disease_features"](spark, sf_dir).count() > 0
     assert names == ["disease-rows"]
+
+
+# ---- loads that read their rows in turn ----------------------------------------------------------------------------------
+
+
+def test_complete_columns_need_no_statistic(spark, monkeypatch):
+    rows = [(f"f{i}", "a" if i % 3 else None, float(i) if i % 4 else None, float(i)) for i in range(12)]
+    df = spark.createDataFrame(rows, "farm_id string, irrigation_type string, temperature_C double, rainfall_mm double")
+    seen, long = [], cleaning.long_form
+    monkeypatch.setattr(cleaning, "long_form", lambda d, columns, *a, **b: seen.append(columns) or long(d, columns, *a, **b))
+    got = {r["farm_id"]: (r["irrigation_type"], r["temperature_C"], r["rainfall_mm"]) for r in cleaning.fill_lenient(df).collect()}
+    assert seen == [["temperature_C"], ["irrigation_type"]]
+    assert got["f0"] == ("a", 6.0, 0.0) and got["f5"] == ("a", 5.0, 5.0) and len(got) == 12
+
+
+def test_typed_load_joins_its_rows_once(spark, sf_dir, monkeypatch):
+    import __spark_entry__
+    from tillage.plans import warehouse as plans
+
+    made, priced = [], plans.priced_farm
+    monkeypatch.setattr(plans, "priced_farm", lambda *a, **b: made.append(a) or priced(*a, **b))
+    rows = {r["target"]: r["n"] for r in __spark_entry__.queries()["e05_typed_load"](spark, sf_dir).collect()}
+    assert len(made) == 1 and sum(rows.values()) == spark.read.parquet(f"{sf_dir}/lineitem.parquet").count()
