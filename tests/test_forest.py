@@ -99,3 +99,44 @@ def test_a_tree_does_not_depend_on_how_many_nodes_are_split_together(monkeypatch
     whole = forest.grow(x, y, w, 8, [9] * 3 + [2] * 3)
     monkeypatch.setattr(forest, "CELLS", 20)
     assert all(np.array_equal(a, b) for a, b in zip(whole, forest.grow(x, y, w, 8, [9] * 3 + [2] * 3)))
+
+
+def test_only_the_smaller_child_of_a_large_node_is_counted(monkeypatch):
+    rng = np.random.default_rng(7)
+    x = rng.integers(0, 9, (20_000, 3)).astype(np.uint8)
+    y, w = x[:, 0] * 3.0 + x[:, 1] + rng.normal(size=len(x)), np.ones(len(x))
+    rows, count = [], np.bincount
+    monkeypatch.setattr(forest.np, "bincount", lambda at, *a, **k: rows.append(len(at)) or count(at, *a, **k))
+    feature, cut, left, value, _ = forest.grow(x, y, w, 4, [9] * 3)
+    # two sums for each of 3 features: all rows at the root, then at most half of them; and two sums a level for the children
+    assert sum(rows) <= len(x) * (2 * 3 * (1 + 3 * 0.5) + 2 * 4)
+    assert np.allclose(value[forest.walk(x, feature, cut, left)], plain_tree(x, y, w, 4))
+
+
+@pytest.mark.parametrize("depth", [3, 9])
+def test_large_nodes_with_leaves_among_them(monkeypatch, depth):
+    monkeypatch.setattr(forest, "WIDE_ROWS", 3)
+    rng = np.random.default_rng(8)
+    label = rng.integers(0, 6, 900)
+    x = np.c_[rng.integers(0, 9, (900, 2)), label[:, None] == np.arange(5)].astype(np.uint8)
+    y = np.where(label < 3, 4.0, np.round(x[:, 0] * 3.0 + label + x[:, 1] * rng.normal(size=900), 2))
+    w = rng.integers(1, 4, 900).astype(float)
+    feature, cut, left, value, _ = forest.grow(x, y, w, depth, [9, 9, 2, 2, 2, 2, 2])
+    assert np.allclose(value[forest.walk(x, feature, cut, left)], plain_tree(x, y, w, depth))
+
+
+def test_a_label_travels_as_one_byte(spark):
+    rows = spark.range(200).selectExpr("id AS row", "double(id) AS y", "id % 4 AS l")
+    rows = rows.select("row", "y", F.expr("unhex(concat(lpad(hex(row % 9), 2, '0'), " + ", ".join(f"IF(l = {i}, '01', '00')" for i in range(3)) + ", IF(row % 2 = 0, '01', '00')))").alias("bins"))
+    fit, sizes = forest.ForestRegressor(numTrees=1, labelCol="y"), [9, 2, 2, 2, 2]
+    total, units = fit._units(rows, sizes)
+    assert total == 200 and units == [(0, 0), (1, 3), (4, 1)]
+    columns = np.stack([np.frombuffer(r[0], np.uint8) for r in rows.select("bins").collect()], 1)
+    codes = forest._coded(columns, units)
+    assert codes.shape == (3, 200) and codes[1].tolist() == [(i % 4 + 1) % 4 for i in range(200)]
+
+
+def test_every_tree_has_a_task_of_its_own(spark):
+    slots = forest._slots(spark, 37)
+    dealt = spark.createDataFrame([(s,) for s in slots], "slot bigint").repartition(37, "slot")
+    assert sorted(r[0] for r in dealt.select(F.spark_partition_id()).collect()) == list(range(37))
