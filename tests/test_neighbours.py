@@ -64,3 +64,18 @@ def test_a_further_cell_answers_only_within_reach():
     assert sorted(near["__q"].unique()) == list(range(20)) and (near["distance"].to_numpy() <= reach[near["__q"]].to_numpy()).all()
     none = neighbours._closest(asked.assign(__reach=-1.0), points, DIMS, 5, False)
     assert len(none) == 0
+
+
+def test_the_driver_gets_a_bounded_sample(spark, monkeypatch):
+    """Sorting for the first rows would send as many of them from every task."""
+    rows = spark.createDataFrame(table(4000, 5))
+    some = neighbours._steering(rows, DIMS, 400, 4000)
+    assert 300 < some.count() < 500 and neighbours._steering(rows, DIMS, 4000, 4000).count() == 4000
+    plan = some._jdf.queryExecution().toString()
+    assert "TakeOrdered" not in plan and "Sort" not in plan and "Limit" not in plan
+    asked, steering = [], neighbours._steering
+    monkeypatch.setattr(neighbours, "_steering", lambda places, dims, n, total: asked.append((n, total)) or steering(places, dims, n, total))
+    monkeypatch.setattr(neighbours, "MOST_SAMPLE", 200)
+    monkeypatch.setattr(neighbours, "CELL_ROWS", 25)
+    test_many_queries_equal_brute_force(spark, monkeypatch, "fold", None)
+    assert len(asked) == 1 and asked[0][0] == 200 < asked[0][1]
